@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import language_id, simhash, url_filter
-from sluicegate.llm.common import table
+from sluicegate.llm import chat_format, language_id, packing, simhash, url_filter
+from sluicegate.llm.common import table, written
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -49,5 +53,57 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op3_url_filter": op3_url_filter, "op8_simhash": op8_simhash}
-ORACLES = {"op3_url_filter": OP3_SQL}
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trap = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return chat_format.format_chats(turns).mapInArrow(_chat_digests, schema)
+
+
+def _chat_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for formatted, spans in zip(batch.column(1), batch.column(2)):
+            formatted = formatted.as_py()
+            turns = chat_format.parse(formatted)
+            loss = "".join(chat_format.unescaped(formatted[s["start"] : s["end"]]) for s in spans.as_py())
+            told = "".join(f"{role}\n{text}\n" for role, text in turns)
+            out.append((len(turns), hashlib.sha256(told.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(formatted)))
+        columns = list(zip(*out)) or [()] * 5
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, type=k) for c, k in zip(columns, kinds))], names=names)
+
+
+OP9_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, regexp_replace(text, '([<\\[])(\\\\*)(\\|im_start\\|>|\\|im_end\\|>|\\|endoftext\\|>|\\|system\\|>|\\|user\\|>|\\|assistant\\|>|s>|/s>|INST\\]|/INST\\]|<SYS>>|</SYS>>)', '\\1\\\\\\2\\3', 'g') AS inside FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|>') + length(role) + 1 + length(inside) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digests = written(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    return packing.pack(digests, ["doc_id", "piece", "start", "ids_crc32"])
+
+
+QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op3_url_filter": op3_url_filter,
+    "op8_simhash": op8_simhash,
+    "op9_chat_format": op9_chat_format,
+    "op10_best_fit_packing": op10_best_fit_packing,
+}
+ORACLES = {"op3_url_filter": OP3_SQL, "op9_chat_format": OP9_SQL}
