@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import chat_format, language_id, packing, simhash, url_filter
+from sluicegate.llm import chat_format, euclid_lsh, language_id, packing, rp_forest, simhash, url_filter
 from sluicegate.llm.common import table, written
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -48,6 +48,14 @@ FROM p LEFT JOIN best ON p.host = best.host AND p.path = best.path
 """
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return euclid_lsh.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "id % 50 = 0", 5)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -102,6 +110,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_url_filter": op3_url_filter,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op6_nearest": op6_nearest,
     "op8_simhash": op8_simhash,
     "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
