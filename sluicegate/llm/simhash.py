@@ -22,7 +22,7 @@ PIECE = 1 << 20
 #: Fingerprints of one cell that meet in one task; more are cut into blocks.
 BLOCK = 1024
 #: Expected fingerprints in a cell; the grid gets finer with their number.
-IN_CELL = 256
+IN_CELL = 64
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _ODD = 0x5555555555555555
 
