@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import chat_format, euclid_lsh, language_id, packing, rp_forest, simhash, url_filter
+from sluicegate.llm import chat_format, euclid_lsh, language_id, line_dedup, mixing, packing, rp_forest, simhash, url_filter
 from sluicegate.llm.common import table, written
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -22,6 +22,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.drop_recurring(docs)
+    return found.select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), F.col("n_dropped").cast("long").alias("n_dropped"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
@@ -56,6 +62,12 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "id % 50 = 0", 5)
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = mixing.mixed(docs, max_repeats=4.0)
+    return found.select(F.col("id").alias("doc_id"), "source", F.col("tokens").alias("n_words"), "n_rows", "copies")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -109,9 +121,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_line_dedup": op2_line_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op6_nearest": op6_nearest,
+    "op7_mixing": op7_mixing,
     "op8_simhash": op8_simhash,
     "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
