@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.llm import chat_format, euclid_lsh, language_id, line_dedup, mixing, packing, rp_forest, simhash, url_filter
+from sluicegate.llm import chat_format, euclid_lsh, language_id, line_dedup, mixing, packing, pseudo_lm, rp_forest, simhash, url_filter
 from sluicegate.llm.common import table, written
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -58,6 +58,11 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return euclid_lsh.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudo_lm.score(docs, *pseudo_lm.fit(docs))
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "id % 50 = 0", 5)
 
@@ -124,6 +129,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_pseudo_likelihood": op5_pseudo_likelihood,
     "op6_nearest": op6_nearest,
     "op7_mixing": op7_mixing,
     "op8_simhash": op8_simhash,
