@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,7 +90,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         for k in keys:
             col = batch.column(k)
             if batch.num_rows > 1:
-                new[1:] |= pa.compute.not_equal(col[1:], col[:-1]).fill_null(True).to_numpy(zero_copy_only=False)
+                new[1:] |= pc.not_equal(col[1:], col[:-1]).fill_null(True).to_numpy(zero_copy_only=False)
         if rest:
             new[0] = any(batch.column(k)[0] != rest[-1].column(k)[-1] for k in keys)
         starts = np.flatnonzero(new)
