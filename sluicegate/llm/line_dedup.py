@@ -16,18 +16,18 @@ MIN_DOCS, SHORT, SHORT_DOCS = 2, 5, 10
 ANY = "<*>"
 
 
-def _tokens(line: Column) -> Column:
-    """Tokens of a line; those with a digit are variable fields from the start."""
+def _masked(line: Column) -> Column:
+    """A line's tokens between single spaces; those with a digit are variable fields from the start."""
     plain = F.trim(F.regexp_replace(line, r"\s+", " "))
-    return F.split(F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"[^ ]*[0-9][^ ]*", ANY)).otherwise(plain), " ")
+    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"[^ ]*[0-9][^ ]*", ANY)).otherwise(plain)
 
 
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc, id, no, n, leaf, line, tokens) of every line that isn't blank; doc stands for id and text together."""
+    """(doc, id, no, n, leaf, line, masked) of every line that isn't blank; doc stands for id and text together."""
     doc = docs.where(F.col(text).isNotNull()).select(F.xxhash64(id_col, text).alias("doc"), F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n")).alias("no", "raw"))
-    own = doc.where(r"raw rlike '\\S'").select("doc", "id", "no", _tokens(F.col("raw")).alias("tokens"))
-    n = F.size("tokens")
-    return own.select("doc", "id", "no", n.alias("n"), F.xxhash64(n, F.slice("tokens", 1, DEPTH)).alias("leaf"), F.xxhash64("tokens").alias("line"), "tokens")
+    own = doc.where(r"raw rlike '\\S'").select("doc", "id", "no", _masked(F.col("raw")).alias("masked"))
+    n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
+    return own.select("doc", "id", "no", n.alias("n"), F.xxhash64(n, F.substring_index("masked", " ", DEPTH)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
 
 
 def _merged(lines: DataFrame) -> DataFrame:
@@ -36,11 +36,12 @@ def _merged(lines: DataFrame) -> DataFrame:
     The template of a leaf is its most frequent line, ties by hash; where lines that agree with it at
     SIMILAR of the positions differ from it, it has variable fields. Leaves of one line are left out.
     """
-    classes = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("c"), F.first("tokens").alias("tokens"))
-    top = classes.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.max_by(F.struct(F.col("line").alias("template"), F.col("tokens").alias("own")), F.struct("c", "line")).alias("top")).where("m > 1")
+    classes = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("c"), F.first("masked").alias("masked"))
+    top = classes.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.max_by(F.struct(F.col("line").alias("template"), F.col("masked").alias("own")), F.struct("c", "line")).alias("top")).where("m > 1")
     both = classes.join(top, "leaf").where("line <> top.template")
-    agree = F.size(F.filter(F.zip_with("tokens", "top.own", lambda a, b: a == b), lambda same: same))
-    return both.where(agree >= SIMILAR * F.size("tokens")).select("leaf", "line", F.col("top.template").alias("template"))
+    own, other = F.split("masked", " "), F.split("top.own", " ")
+    agree = F.size(F.filter(F.zip_with(own, other, lambda a, b: a == b), lambda same: same))
+    return both.where(agree >= SIMILAR * F.size(own)).select("leaf", "line", F.col("top.template").alias("template"))
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -50,8 +51,8 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     earliest, by id (nulls last) and hash, keeps its lines. doc is the hash of id and text, so repeated
     rows are one document.
     """
-    light = written(_lines(docs, id_col, text).drop("tokens"), "lines")
-    merged = _merged(_lines(docs, id_col, text).select("leaf", "line", "tokens"))
+    light = written(_lines(docs, id_col, text).drop("masked"), "lines")
+    merged = _merged(_lines(docs, id_col, text).select("leaf", "line", "masked"))
     own = light.join(merged, ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line"))
     own = written(own.select("doc", "id", "no", "n", "leaf", "template"), "line-templates")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("doc").alias("doc"))
