@@ -22,12 +22,31 @@ END_ID = 2
 #: Pieces of one length that are ranked together in one task, about.
 RANKED = 512
 #: Characters of a text that are cut into chunks at a time; longer chunks than KEPT_CHARS are not kept.
-PIECE, KEPT_CHARS, KEPT_CHUNKS = 1 << 20, 48, 400_000
+PIECE, KEPT_CHARS, KEPT_CHUNKS, KEPT_PARTS = 1 << 20, 48, 400_000, 600_000
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 _DOUBLE = re.compile(r"\s ")
+_LINE = re.compile(r" ?\S+")
 _coders: dict[str, Coder] = {}
 
 
+def _parts(chunk: str) -> list[str]:
+    """A chunk in parts that the tokenizer's pattern never joins: a line end between two other characters stands
+    alone, and stops and commas stand apart from a letter before them and from a line end after them."""
+    out = []
+    lines = chunk.split("\n") if "\n" in chunk else [chunk]
+    if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in (lines[0].lstrip(" "), *lines[1:])):
+        return [chunk]
+    for i, line in enumerate(lines):
+        if i:
+            out.append("\n")
+        word = line.rstrip(".,")
+        if word != line and word and word[-1].isalpha():
+            out += [word, line[len(word) :]]
+        else:
+            out.append(line)
+    return out
+
+
 @dataclass
 class Coder:
     """Token ids of whole texts; ids of frequent chunks are kept.
@@ -39,6 +58,7 @@ class Coder:
 
     tokenizer: Tokenizer
     known: dict[str, bytes] = field(default_factory=dict)
+    parts: dict[str, bytes] = field(default_factory=dict)
 
     @staticmethod
     def of(path: str) -> Coder:
@@ -70,11 +90,37 @@ class Coder:
             pass
         if len(known) > KEPT_CHUNKS:
             known.clear()
-        new = list({c for c in chunks if c not in known})
-        made = {c: np.array(e.ids, dtype="<u4").tobytes() for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
+        if len(self.parts) > KEPT_PARTS:
+            self.parts.clear()
+        parts = self.parts
+        new = {c: _parts(c) for c in chunks if c not in known}
+        unseen = list({p for own in new.values() for p in own if p not in parts})
+        parts |= self.each(unseen)
+        made = {c: b"".join([parts[p] for p in own]) for c, own in new.items()}
         known |= {c: ids for c, ids in made.items() if len(c) <= KEPT_CHARS}
+        for p in unseen:
+            if len(p) > KEPT_CHARS:
+                del parts[p]
         return b"".join([known[c] if c in known else made[c] for c in chunks])
 
+    def each(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of every part. Those without white space, but for a space in front, are encoded as the lines of
+        one text: a line end between them is a token of its own, at which the ids are cut again."""
+        lines = [p for p in parts if _LINE.fullmatch(p)]
+        others = [p for p in parts if not _LINE.fullmatch(p)]
+        out = {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False))}
+        if lines:
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(ids == self.line_end).tolist()
+            data = ids.tobytes()
+            out |= {p: data[4 * a + 4 : 4 * b] for p, a, b in zip(lines, [-1, *ends], [*ends, len(ids)], strict=True)}
+        return out
+
+    @property
+    def line_end(self) -> int:
+        (found,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        return found
+
     def ids(self, text: str) -> bytes:
         return b"".join([self.encoded(c) for c in self.chunks(text)])
 
