@@ -164,7 +164,7 @@ def in_dynamic_network(s: str, net: str) -> str:
 
 
 class Compiler:
-    """Trees to SQL over the structs p0, p1 ... of the paths; patterns: (strings, pattern) of the columns d0, d1 ..."""
+    """Trees to SQL over the columns p0_k, p0_s ... of the paths; patterns: (strings, pattern) of the columns d0, d1 ..."""
 
     def __init__(self, paths: tuple[Path, ...]) -> None:
         self.columns = {p: f"p{i}" for i, p in enumerate(paths)}
@@ -176,7 +176,7 @@ class Compiler:
                 return literal(node)
             case Path():
                 c = self.columns[node]
-                return Value(f"{c}.k", f"{c}.s", f"{c}.t", f"{c}.b", f"{c}.els", f"{c}.leaves")
+                return Value(f"{c}_k", f"{c}_s", f"{c}_t", f"{c}_b", f"{c}_els", f"{c}_leaves")
             case Array(items):
                 made = [self.value(x) for x in items]
                 if not made:
@@ -197,7 +197,7 @@ class Compiler:
             case Lit(x):
                 return "true" if x is True else "false"
             case Path():
-                return f"coalesce({self.columns[node]}.b, false)"
+                return f"coalesce({self.columns[node]}_b, false)"
             case Array() | Call("lower" | "upper"):
                 return "false"
             case Not(inner):

@@ -42,17 +42,11 @@ def _short(z: str) -> str:
 
 def canonical(s: str) -> str:
     """Plain text of a numeric string, null of others. Exponents go through DECIMAL(38,18), then DOUBLE."""
-
-    def digits(x: str) -> str:
-        body = f"ltrim('+-', {x})"
-        whole, part = f"ltrim('0', split_part({body}, '.', 1))", f"rtrim('0', split_part({body}, '.', 2))"
-        number = f"concat(CASE WHEN {whole} = '' THEN '0' ELSE {whole} END, CASE WHEN {part} = '' THEN '' ELSE concat('.', {part}) END)"
-        return let(number, lambda m: f"CASE WHEN {m} = '0' THEN '0' WHEN {x} LIKE '-%' THEN concat('-', {m}) ELSE {m} END")
-
-    def exponent(x: str) -> str:
-        return let(f"coalesce(cast(try_cast({x} AS DECIMAL(38,18)) AS STRING), cast(try_cast({x} AS DOUBLE) AS STRING))", _short)
-
-    return f"CASE WHEN {s} RLIKE '{_PLAIN}' THEN {digits(s)} WHEN {s} RLIKE '{NUMERIC}' THEN {exponent(s)} END"
+    body = f"ltrim('+-', {s})"
+    whole, part = f"ltrim('0', split_part({body}, '.', 1))", f"rtrim('0', split_part({body}, '.', 2))"
+    number = f"concat(CASE WHEN {s} LIKE '-%' AND {body} RLIKE '[1-9]' THEN '-' ELSE '' END, CASE WHEN {whole} = '' THEN '0' ELSE {whole} END, CASE WHEN {part} = '' THEN '' ELSE concat('.', {part}) END)"
+    wide = _short(f"coalesce(cast(try_cast({s} AS DECIMAL(38,18)) AS STRING), cast(try_cast({s} AS DOUBLE) AS STRING))")
+    return f"CASE WHEN {s} RLIKE '{_PLAIN}' THEN {number} WHEN {s} RLIKE '{NUMERIC}' THEN {wide} END"
 
 
 def plain_decimal(value: Decimal) -> str:
@@ -78,23 +72,38 @@ def kind_of(v: str) -> str:
     )
 
 
-def string_of(v: str, k: str) -> str:
-    number = (
+def number_of(v: str) -> str:
+    """Text of a number as VARIANT gives it; doubles through DECIMAL(38,18)."""
+    return (
         f"CASE WHEN schema_of_variant({v}) = 'DOUBLE' THEN coalesce(cast(try_variant_get({v}, '$', 'decimal(38,18)') AS STRING), "
         f"try_variant_get({v}, '$', 'string')) ELSE try_variant_get({v}, '$', 'string') END"
     )
-    return f"CASE WHEN {k} = 'N' THEN {let(number, _short)} WHEN {k} IN ('S', 'B') THEN try_variant_get({v}, '$', 'string') END"
+
+
+def string_of(v: str, k: str, z: str) -> str:
+    """z: the value's number_of."""
+    return f"CASE WHEN {k} = 'N' THEN {_short(z)} WHEN {k} IN ('S', 'B') THEN try_variant_get({v}, '$', 'string') END"
+
+
+def number_text_of(k: str, s: str) -> str:
+    return f"CASE WHEN {k} = 'N' THEN {s} WHEN {k} = 'S' THEN {canonical(s)} END"
+
+
+def boolean_of(v: str, k: str) -> str:
+    return f"CASE WHEN {k} = 'B' THEN try_variant_get({v}, '$', 'boolean') END"
+
+
+def once(e: str) -> str:
+    """e as an expression that the optimizer doesn't copy into its consumers or push filters through."""
+    return f"CASE WHEN monotonically_increasing_id() >= 0 THEN {e} END"
 
 
 def scalar_struct(v: str) -> str:
-    """k, s, t and b of a variant."""
+    """k, s, t and b of a variant, for elements of arrays."""
 
     def with_kind(k: str) -> str:
-        return let(
-            string_of(v, k),
-            lambda s: f"named_struct('k', {k}, 's', {s}, 't', CASE WHEN {k} = 'N' THEN {s} WHEN {k} = 'S' THEN {canonical(s)} END, "
-            f"'b', CASE WHEN {k} = 'B' THEN try_variant_get({v}, '$', 'boolean') END)",
-        )
+        own = let(number_of(v), lambda z: string_of(v, k, z))
+        return let(own, lambda s: f"named_struct('k', {k}, 's', {s}, 't', {number_text_of(k, s)}, 'b', {boolean_of(v, k)})")
 
     return let(kind_of(v), with_kind)
 

@@ -42,17 +42,18 @@ def json_path(path: Path) -> str:
     return "$" + "".join(_key(p) for p in path.parts)
 
 
-def parsed(raw: Column) -> Column:
-    """The event as a VARIANT; null unless the text is exactly one JSON object.
+def _with_doc(events: DataFrame, raw: str) -> DataFrame:
+    """events with _doc, the event as a VARIANT; null unless the text is exactly one JSON object.
 
     parse_json ignores what follows a value. Text that is whole within brackets and within an object
     can't be closed early in both, so two parses tell.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    here = F.monotonically_increasing_id() >= 0
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$", "array<variant>")
     held = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
-    items = F.try_variant_get(listed, "$", "array<variant>")
-    one = items[0]
-    return F.when(held.isNotNull() & (F.size(items) == 1) & F.schema_of_variant(one).startswith("OBJECT"), one)
+    df = events.select("*", F.when(here & held.isNotNull(), listed).alias("_items"))
+    one = F.col("_items")[0]
+    return df.select(*events.columns, F.when(here & (F.size("_items") == 1) & F.schema_of_variant(one).startswith("OBJECT"), one).alias("_doc"))
 
 
 def _found(strings: pd.Series, patterns: pd.Series) -> pd.Series:
@@ -66,16 +67,22 @@ def _found(strings: pd.Series, patterns: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def _structs(df: DataFrame, paths: tuple[Path, ...], used: str) -> DataFrame:
-    """One VARIANT per path, then one struct per path with the fields that the rules' text mentions."""
-    df = df.select("*", *[F.expr(f"variant_get(_doc, {v.quoted(json_path(p))}, 'variant')").alias(f"_v{i}") for i, p in enumerate(paths)])
-    made = []
-    for i in range(len(paths)):
-        fields = {"els": v.structs(v.elements_of(f"_v{i}")), "leaves": v.structs(v.leaves_of(f"_v{i}"))}
-        deep = [f"'{n}', {e}" for n, e in fields.items() if f"p{i}.{n}" in used]
-        inner = v.let(v.scalar_struct(f"_v{i}"), lambda s, d=deep: f"named_struct('k', {s}.k, 's', {s}.s, 't', {s}.t, 'b', {s}.b{''.join(', ' + x for x in d)})")
-        made.append(F.expr(inner).alias(f"p{i}"))
-    return df.select(*[c for c in df.columns if not c.startswith("_v")], *[f"_v{i}" for i in range(len(paths))], *made)
+def _values(df: DataFrame, paths: tuple[Path, ...], used: str) -> DataFrame:
+    """One VARIANT per path, then those of its columns (kind, string, number text, boolean, elements) that used names.
+
+    Each step is a projection of its own, so that the next one reads its columns instead of repeating them.
+    """
+    some = [(i, p) for i, p in enumerate(paths)]
+    has = lambda i, *names: any(f"p{i}_{n}" in used for n in names)
+    df = df.select("*", *[F.expr(v.once(f"variant_get(_doc, {v.quoted(json_path(p))}, 'variant')")).alias(f"_v{i}") for i, p in some])
+    df = df.select("*", *[F.expr(v.once(v.kind_of(f"_v{i}"))).alias(f"p{i}_k") for i, _ in some])
+    df = df.select("*", *[F.expr(v.once(v.number_of(f"_v{i}"))).alias(f"_z{i}") for i, _ in some if has(i, "s", "t")])
+    df = df.select("*", *[F.expr(v.once(v.string_of(f"_v{i}", f"p{i}_k", f"_z{i}"))).alias(f"p{i}_s") for i, _ in some if has(i, "s", "t")])
+    made = [F.expr(v.once(v.number_text_of(f"p{i}_k", f"p{i}_s"))).alias(f"p{i}_t") for i, _ in some if has(i, "t")]
+    made += [F.expr(v.once(v.boolean_of(f"_v{i}", f"p{i}_k"))).alias(f"p{i}_b") for i, _ in some if has(i, "b")]
+    made += [F.expr(v.once(v.structs(v.elements_of(f"_v{i}")))).alias(f"p{i}_els") for i, _ in some if has(i, "els")]
+    made += [F.expr(v.once(v.structs(v.leaves_of(f"_v{i}")))).alias(f"p{i}_leaves") for i, _ in some if has(i, "leaves")]
+    return df.select("*", *made)
 
 
 def over_budget(variant: str) -> str:
@@ -126,16 +133,16 @@ def apply_filter(
     paths = tuple(dict.fromkeys([*found.paths, *wanted]))
     compiler = sql.Compiler(paths)
     tests = [(r.name, compiler.test(r.tree)) for r in found.rules]
-    used = " ".join([t for _, t in tests] + [s for s, _ in compiler.patterns])
-    df = _structs(events.select("*", parsed(F.col(raw)).alias("_doc")), paths, used)
+    used = " ".join([t for _, t in tests] + [x for pair in compiler.patterns for x in pair] + [f"p{paths.index(p)}_s" for p in wanted])
+    df = _values(_with_doc(events, raw), paths, used)
     if compiler.patterns:
-        find = F.pandas_udf(_found, "boolean")
+        find = F.pandas_udf(_found, "boolean").asNondeterministic()
         df = df.select("*", *[find(F.expr(s), F.expr(p)).alias(f"d{i}") for i, (s, p) in enumerate(compiler.patterns)])
     budget = " OR ".join([f"({over_budget(f'_v{i}')})" for i in range(len(paths))]) or "false"
     error = f"(_doc IS NULL OR {budget})"
     name = "CASE " + " ".join(f"WHEN {t} THEN {v.quoted(n)}" for n, t in tests) + " END"
-    told = f"CASE WHEN {error} THEN {v.quoted(EVALUATION_ERROR)} WHEN rand(1) < 2 THEN {name} END"
-    values = F.array(*[F.expr(f"p{paths.index(p)}.s") for p in wanted]) if wanted else none
+    told = v.once(f"CASE WHEN {error} THEN {v.quoted(EVALUATION_ERROR)} ELSE {name} END")
+    values = F.array(*[F.col(f"p{paths.index(p)}_s") for p in wanted]) if wanted else none
     df = df.select(*events.columns, values.alias("_values"), F.expr(told).alias("_told"))
     bad = F.coalesce(F.col("_told") == EVALUATION_ERROR, F.lit(False))
     by_rule = F.when(~bad, F.col("_told"))
@@ -161,11 +168,8 @@ def extract_pointers(events: DataFrame, texts: Sequence[str], raw: str = "raw",
     """
     events.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     found = pointers(texts)
-    df = events.select("*", parsed(F.col(raw)).alias("_doc"))
-    made = []
-    for p in found:
-        kind = v.kind_of(f"variant_get(_doc, {v.quoted(json_path(p))}, 'variant')")
-        made.append(F.when(F.expr(kind).isin("S", "N", "B"), F.get_json_object(raw, json_path(p))))
+    df = _values(_with_doc(events, raw), tuple(found), "")
+    made = [F.when(F.col(f"p{i}_k").isin("S", "N", "B"), F.get_json_object(raw, json_path(p))) for i, p in enumerate(found)]
     return df.select(*[c for c in events.columns if c != out], F.array(*made).alias(out), F.col("_doc").isNotNull().alias("valid"))
 
 
@@ -174,16 +178,16 @@ def rule_counters(decisions: DataFrame) -> DataFrame:
     return decisions.where("drop and not evaluation_error").groupBy("rule_name").agg(F.count(F.lit(1)).alias("matches"))
 
 
-def index_keys(struct: str) -> str:
+def index_keys(column: str) -> str:
     """The keys under which a path's value stands in the index of literals: Z:null, B:true, N:5, S:text."""
 
     def of(x: str) -> str:
         return (
-            f"filter(array(CASE WHEN {x}.k = 'Z' THEN 'Z:null' END, CASE WHEN {x}.k = 'B' THEN concat('B:', {x}.s) END, "
-            f"CASE WHEN {x}.t IS NOT NULL THEN concat('N:', {x}.t) END, CASE WHEN {x}.k IN ('S', 'N') THEN concat('S:', {x}.s) END), y -> y IS NOT NULL)"
+            f"filter(array(CASE WHEN {x}k = 'Z' THEN 'Z:null' END, CASE WHEN {x}k = 'B' THEN concat('B:', {x}s) END, "
+            f"CASE WHEN {x}t IS NOT NULL THEN concat('N:', {x}t) END, CASE WHEN {x}k IN ('S', 'N') THEN concat('S:', {x}s) END), y -> y IS NOT NULL)"
         )
 
-    return f"CASE WHEN {struct}.k = 'A' THEN flatten(transform({struct}.leaves, z -> {of('z')})) ELSE {of(struct)} END"
+    return f"CASE WHEN {column}_k = 'A' THEN flatten(transform({column}_leaves, z -> {of('z.')})) ELSE {of(f'{column}_')} END"
 
 
 def rule_anchors(found: RuleSet) -> list[tuple[str, str, int]]:
@@ -216,7 +220,7 @@ def candidates(events: DataFrame, rules: Mapping[str, str], raw: str = "raw") ->
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     found = compile_rules(rules)
     paths = tuple(found.anchor_paths)
-    df = _structs(events.select("*", parsed(F.col(raw)).alias("_doc")), paths, " ".join(f"p{i}.leaves" for i in range(len(paths))))
+    df = _values(_with_doc(events, raw), paths, " ".join(f"p{i}_{n}" for i in range(len(paths)) for n in ("s", "t", "leaves")))
     table: dict[tuple[str, str], list[int]] = {}
     for path, key, i in rule_anchors(found):
         table.setdefault((path, key), []).append(i)
