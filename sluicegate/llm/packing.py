@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+import struct
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -25,8 +27,15 @@ RANKED = 512
 PIECE, KEPT_CHARS, KEPT_CHUNKS, KEPT_PARTS = 1 << 20, 48, 400_000, 600_000
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 _DOUBLE = re.compile(r"\s ")
-_LINE = re.compile(r" ?\S+")
 _coders: dict[str, Coder] = {}
+#: The printable character that byte-level vocabularies write for each byte: its own where that shows, else from 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: chr(b) if b in _PLAIN else chr(256 + b - sum(x < b for x in _PLAIN)) for b in range(256)}
+
+
+@cache
+def _packer(n: int) -> Callable[..., bytes]:
+    return struct.Struct(f"<{n}I").pack
 
 
 def _parts(chunk: str) -> list[str]:
@@ -81,48 +90,62 @@ class Coder:
                 words = part.split(" ")
                 yield [*([words[0]] if words[0] else []), *[f" {w}" for w in words[1:]]]
 
-    def encoded(self, chunks: list[str]) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that aren't known. Short ones are known from now on."""
+        parts, new = self.parts, {c: _parts(c) for c in chunks if c not in self.known}
+        parts |= self.each({p for own in new.values() for p in own if p not in parts})
+        made = {c: b"".join([parts[p] for p in own]) for c, own in new.items()}
+        self.known |= {c: ids for c, ids in made.items() if len(c) <= KEPT_CHARS}
+        for c, own in new.items():
+            if len(c) > KEPT_CHARS:
+                for p in own:
+                    parts.pop(p, None)
+        return made
+
+    def each(self, parts: set[str]) -> dict[str, bytes]:
+        """The ids of every part. Letters, with or without a space in front, are one word to the tokenizer's pattern,
+        so they go straight to its model, in its own characters for bytes."""
+        out, tokens = {}, self.tokenizer.model.tokenize
+        others = []
+        for p in parts:
+            if p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) or p.isalpha():
+                ids = [t.id for t in tokens(p.encode().decode("latin-1").translate(_SHOWN))]
+                out[p] = _packer(len(ids))(*ids)
+            else:
+                others.append(p)
+        for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            out[p] = np.array(e.ids, dtype="<u4").tobytes()
+        return out
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; unknown chunks of about PIECE characters are learned at once."""
+        out, held, size = [], [], 0
+        for text in texts:
+            if len(text) > PIECE:
+                out += self._group(held)
+                held, size = [], 0
+                out.append(b"".join([self._group([c])[0] for c in self.chunks(text)]))
+                continue
+            held.append(next(self.chunks(text), []))
+            size += len(text)
+            if size > PIECE:
+                out += self._group(held)
+                held, size = [], 0
+        return out + self._group(held)
+
+    def _group(self, held: list[list[str]]) -> list[bytes]:
         known = self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            pass
         if len(known) > KEPT_CHUNKS:
             known.clear()
         if len(self.parts) > KEPT_PARTS:
             self.parts.clear()
-        parts = self.parts
-        new = {c: _parts(c) for c in chunks if c not in known}
-        unseen = list({p for own in new.values() for p in own if p not in parts})
-        parts |= self.each(unseen)
-        made = {c: b"".join([parts[p] for p in own]) for c, own in new.items()}
-        known |= {c: ids for c, ids in made.items() if len(c) <= KEPT_CHARS}
-        for p in unseen:
-            if len(p) > KEPT_CHARS:
-                del parts[p]
-        return b"".join([known[c] if c in known else made[c] for c in chunks])
-
-    def each(self, parts: list[str]) -> dict[str, bytes]:
-        """The ids of every part. Those without white space, but for a space in front, are encoded as the lines of
-        one text: a line end between them is a token of its own, at which the ids are cut again."""
-        lines = [p for p in parts if _LINE.fullmatch(p)]
-        others = [p for p in parts if not _LINE.fullmatch(p)]
-        out = {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False))}
-        if lines:
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.line_end).tolist()
-            data = ids.tobytes()
-            out |= {p: data[4 * a + 4 : 4 * b] for p, a, b in zip(lines, [-1, *ends], [*ends, len(ids)], strict=True)}
-        return out
-
-    @property
-    def line_end(self) -> int:
-        (found,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        return found
+        made = self.learn(set().union(*held) - known.keys()) if held else {}
+        if any(len(c) > KEPT_CHARS for c in made):
+            return [b"".join([known[c] if c in known else made[c] for c in own]) for own in held]
+        return [b"".join([known[c] for c in own]) for own in held]
 
     def ids(self, text: str) -> bytes:
-        return b"".join([self.encoded(c) for c in self.chunks(text)])
+        return self.many([text])[0]
 
 
 def token_pieces(
@@ -144,8 +167,9 @@ def token_pieces(
         coder = Coder.of(path)
         for batch in batches:
             rows, piece, start, ids = [], [], [], []
-            for row, own in enumerate(batch.column(batch.schema.get_field_index("_text"))):
-                data = coder.ids(own.as_py() or "") + end
+            texts = [x or "" for x in batch.column(batch.schema.get_field_index("_text")).to_pylist()]
+            for row, data in enumerate(coder.many(texts)):
+                data += end
                 n = len(data) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
                 for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
