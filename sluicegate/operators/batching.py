@@ -72,8 +72,8 @@ def runs(sizes: np.ndarray, ends: np.ndarray, at: np.ndarray, limits: Limits, he
             room = limits.bytes - held.bytes + total[start]
             options.append((int(np.searchsorted(total, room, side="left")), 2, "byte-count"))
             over = int(np.searchsorted(total, room, side="right")) - 1  # the next event doesn't fit
-            if over > start or held.events:
-                options.append((max(over, start), 3, "byte-count"))
+            if start < over < n:
+                options.append((over, 4, "byte-count"))
             if limits.timers:
                 old = int(np.searchsorted(at, held.created + limits.age, side="left"))
                 gap = int(gaps[i]) if (i := int(np.searchsorted(gaps, start, side="right"))) < len(gaps) else n + 1
@@ -81,7 +81,7 @@ def runs(sizes: np.ndarray, ends: np.ndarray, at: np.ndarray, limits: Limits, he
                     if start < place < n:
                         due = Open(created=held.created, last=int(at[place - 1])).due(limits)
                         if at[place] >= due[0]:
-                            options.append((place, 4, due[1]))
+                            options.append((place, 3, due[1]))
             after, _, reason = min((o for o in options if o[0] > start), key=lambda o: o[:2])
             if after > n:
                 after, reason = n, None
