@@ -149,12 +149,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[Vo
     its texts, changing the layers; these are averaged, weighted by words, in SUMS parts and then on the driver.
     """
     counts = written(_word_counts(docs, text), "lm-words")
-    top = [(r.word, r.n) for r in counts.orderBy(F.desc("n"), "word").limit(MOST_WORDS).collect()]
+    # words below a power of two go first, so that not every task sends its own MOST_WORDS to the driver
+    powers = {r.p: r.kinds for r in counts.groupBy(F.length(F.bin("n")).alias("p")).agg(F.count(F.lit(1)).alias("kinds")).collect()}
+    least = max((p for p in powers if sum(n for q, n in powers.items() if q >= p) >= MOST_WORDS), default=1)
+    often = counts.where(F.col("n") >= 1 << (least - 1))
+    top = [(r.word, r.n) for r in often.orderBy(F.desc("n"), "word").limit(MOST_WORDS).collect()]
     by = counts.groupBy(F.least(F.length("word"), F.lit(LENGTHS)).alias("k")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()
     vocab = vocabulary(top, {r.k: (r.n, r.kinds) for r in by})
     start = Network.new(vocab.pad)
-    chance = F.xxhash64(F.lit(SEED), F.col(id_col), F.length(text))
-    some = docs.where(F.col(text).isNotNull()).select(chance.alias("u"), F.substring(text, 1, EXCERPT_CHARS).alias("t")).orderBy("u", "t").limit(SAMPLE_ROWS).collect()
+    own = docs.where(F.col(text).isNotNull())
+    share = 1.2 * SAMPLE_ROWS / max(own.count(), 1)
+    chance = F.pmod(F.xxhash64(F.lit(SEED), F.col(id_col), F.length(text)), F.lit(1 << 30)) / float(1 << 30)
+    some = own.where(chance < share).select(chance.alias("u"), F.substring(text, 1, EXCERPT_CHARS).alias("t")).orderBy("u", "t").limit(SAMPLE_ROWS).collect()
     if not top:
         return vocab, start
     around, words = windows([vocab.encoded(r.t) for r in some], vocab.pad)

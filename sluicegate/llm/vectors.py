@@ -16,8 +16,6 @@ def prepared(df: DataFrame, id_col: str, vector: str) -> DataFrame:
     vec is null for vectors that are null, empty, zero, or hold null or non-finite components, or whose
     squared length is not a positive finite double.
     """
-    schema = df.select(F.col(id_col).cast("long").alias("id"), F.lit(b"").alias("vec"), F.lit(0).alias("dim")).schema
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
@@ -32,7 +30,7 @@ def prepared(df: DataFrame, id_col: str, vector: str) -> DataFrame:
             dims = pa.array([len(x) // 8 if x else 0 for x in out], type=pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, type=pa.binary()), dims], names=["id", "vec", "dim"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).mapInArrow(run, schema)
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).mapInArrow(run, "id long, vec binary, dim int")
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
