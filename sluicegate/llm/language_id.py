@@ -21,7 +21,8 @@ ORDERS = (2, 3, 4)
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 DIM = 16
-EPOCHS = 4
+#: Passes over the sample, and steps at least: a small sample is gone over more often.
+EPOCHS, STEPS = 4, 10_000
 #: Bytes that are looked at in one go.
 PIECE = 1 << 20
 #: Of right answers on held-out excerpts so many may be rejected; and no answer surer than LEAST_SURE is.
@@ -125,8 +126,9 @@ def fit(texts: list[str], langs: list[str], seed: int = 1) -> Model:
     table = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + 1, DIM)).astype(np.float32)
     table[BUCKETS] = 0
     top = np.zeros((DIM, len(names)), dtype=np.float32)
-    steps, at = max(1, EPOCHS * len(learned)), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // max(1, len(learned))))
+    steps, at = max(1, epochs * len(learned)), 0
+    for _ in range(epochs):
         for i in rng.permutation(learned):
             ids, weight = bags[i]
             mean = weight @ table[ids]

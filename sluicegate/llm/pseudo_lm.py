@@ -240,7 +240,7 @@ def score(docs: DataFrame, vocab: Vocabulary, network: Network, text: str = "tex
                 for at in range(0, len(words), BATCH):
                     w = words[at : at + BATCH]
                     logp[at : at + BATCH] = network.forward(around[at : at + BATCH])[2][np.arange(len(w)), vocab.classes[w]] + vocab.within[w]
-                sums.append(np.bincount(np.repeat(np.arange(len(own)), own), weights=logp, minlength=len(own)))
+                sums.append(np.bincount(np.repeat(np.arange(len(own)), own), weights=logp, minlength=len(own)).astype(np.float64))  # of no words it would be integers
                 sizes += own
             n = np.array(sizes, dtype=np.int64)
             total = np.concatenate(sums) if sums else np.zeros(0)
