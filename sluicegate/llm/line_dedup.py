@@ -30,18 +30,22 @@ def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return own.select("doc", "id", "no", n.alias("n"), F.xxhash64(n, F.substring_index("masked", " ", DEPTH)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
 
 
-def _merged(lines: DataFrame) -> DataFrame:
+def _merged(light: DataFrame, texts: DataFrame) -> DataFrame:
     """(leaf, line, template) of the lines that share a template with another line of their leaf.
 
     The template of a leaf is its most frequent line, ties by hash; where lines that agree with it at
-    SIMILAR of the positions differ from it, it has variable fields. Leaves of one line are left out.
+    SIMILAR of the positions differ from it, it has variable fields. Leaves of one line are left out by their
+    hashes alone, so the text of lines is shuffled once, and only that of other leaves goes further.
     """
-    classes = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("c"), F.first("masked").alias("masked"))
-    top = classes.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.max_by(F.struct(F.col("line").alias("template"), F.col("masked").alias("own")), F.struct("c", "line")).alias("top")).where("m > 1")
-    both = classes.join(top, "leaf").where("line <> top.template")
-    own, other = F.split("masked", " "), F.split("top.own", " ")
-    agree = F.size(F.filter(F.zip_with(own, other, lambda a, b: a == b), lambda same: same))
-    return both.where(agree >= SIMILAR * F.size(own)).select("leaf", "line", F.col("top.template").alias("template"))
+    classes = light.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("c"))
+    top = classes.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.max_by("line", F.struct("c", "line")).alias("template")).where("m > 1").drop("m")
+    own = texts.join(top.hint("shuffle_hash"), "leaf").groupBy("leaf", "line", "template").agg(F.first("masked").alias("masked"))
+    own = written(own, "line-classes")
+    model = own.where("line = template").select("leaf", F.col("masked").alias("model"))
+    both = own.where("line <> template").join(model, "leaf")
+    mine, other = F.split("masked", " "), F.split("model", " ")
+    agree = F.size(F.filter(F.zip_with(mine, other, lambda a, b: a == b), lambda same: same))
+    return both.where(agree >= SIMILAR * F.size(mine)).select("leaf", "line", "template")
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -52,7 +56,7 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows are one document.
     """
     light = written(_lines(docs, id_col, text).drop("masked"), "lines")
-    merged = _merged(_lines(docs, id_col, text).select("leaf", "line", "masked"))
+    merged = _merged(light, _lines(docs, id_col, text).select("leaf", "line", "masked"))
     own = light.join(merged, ["leaf", "line"], "left").withColumn("template", F.coalesce("template", "line"))
     own = written(own.select("doc", "id", "no", "n", "leaf", "template"), "line-templates")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("doc").alias("doc"))
