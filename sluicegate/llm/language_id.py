@@ -23,8 +23,8 @@ BUCKETS = 1 << BUCKET_BITS
 DIM = 16
 #: Passes over the sample, and steps at least: a small sample is gone over more often.
 EPOCHS, STEPS = 4, 10_000
-#: Bytes that are looked at in one go.
-PIECE = 1 << 20
+#: Bytes, and texts, that are looked at in one go.
+PIECE, SLICE = 1 << 20, 500
 #: Of right answers on held-out excerpts so many may be rejected; and no answer surer than LEAST_SURE is.
 REJECTED_RIGHT, LEAST_SURE = 0.001, 0.5
 _LETTERS = np.array([c if c >= 128 or chr(c).isalpha() else 32 for c in range(256)], dtype=np.uint8)
@@ -54,11 +54,15 @@ class Model:
                     sums[k, first : last + 1] += np.add.reduceat(own[ids], starts, dtype=np.float64)
         return (sums / np.maximum(n, 1)).T, n
 
-    def predict(self, texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
-        """Language, calibrated score, whether the answer is rejected."""
+    def predict(self, texts: pa.Array) -> list[pa.Array]:
+        """Language, calibrated score, whether the answer is rejected; SLICE texts at a time."""
+        made = [self._predict(texts.slice(at, SLICE)) for at in range(0, max(len(texts), 1), SLICE)]
+        return [pa.concat_arrays(x) for x in zip(*made)]
+
+    def _predict(self, texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
         letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
         if not self.langs:
-            return pa.array(["und"] * len(texts)), pa.array(np.zeros(len(texts))), pa.array(np.ones(len(texts), dtype=bool))
+            return pa.array(["und"] * len(texts), type=pa.string()), pa.array(np.zeros(len(texts))), pa.array(np.ones(len(texts), dtype=bool))
         logits, _ = self.scores(texts)
         p = softmax(logits / self.temperature)
         best = p.argmax(axis=1)
@@ -179,14 +183,15 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     without languages says und. Texts are read whole, in pieces of PIECE bytes.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
+    own = text if text in kept else "_text"
     schema = docs.select(*kept, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = model.predict(batch.column(batch.schema.get_field_index("_text")))
+            made = model.predict(batch.column(own))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], names=[*kept, "lang_pred", "score", "rejected"])
 
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*kept, *([] if own == text else [F.col(text).alias(own)])).mapInArrow(run, schema)
 
 
 def fit_on(docs: DataFrame, labelled: Column, **columns: str) -> Model:

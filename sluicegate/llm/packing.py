@@ -24,7 +24,7 @@ END_ID = 2
 #: Pieces of one length that are ranked together in one task, about.
 RANKED = 512
 #: Characters of a text that are cut into chunks at a time; longer chunks than KEPT_CHARS are not kept.
-PIECE, KEPT_CHARS, KEPT_CHUNKS, KEPT_PARTS = 1 << 20, 48, 400_000, 600_000
+PIECE, KEPT_CHARS, KEPT_CHUNKS, KEPT_PARTS = 1 << 20, 48, 400_000, 500_000
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 _DOUBLE = re.compile(r"\s ")
 _coders: dict[str, Coder] = {}

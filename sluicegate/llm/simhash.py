@@ -69,14 +69,15 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fp", k: int =
     """Adds out (long) to docs; null and blank texts get zero. Texts are read whole, piece by piece."""
     schema = docs.drop(out).withColumn(out, F.lit(0).cast("long")).schema
     names = [c for c in docs.columns if c != out]
+    own = text if text in names else "_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_text"))
+            texts = batch.column(own)
             made = pa.array([fingerprint(x.as_py(), k) for x in texts.cast(pa.binary())], type=pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), made], names=[*names, out])
 
-    return docs.select(*[F.col(c) for c in names], F.col(text).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*names, *([] if own == text else [F.col(text).alias(own)])).mapInArrow(run, schema)
 
 
 def bit_counts(fp: Column) -> Column:
