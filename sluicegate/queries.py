@@ -145,7 +145,7 @@ def rules_drop_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("rule_name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT conn_id, count(*) AS n FROM e JOIN (SELECT conn_id, min(event_id) AS first FROM e WHERE event_id % 100 = 13 GROUP BY 1) f USING (conn_id) WHERE event_id < first GROUP BY 1")
+@query("SELECT conn_id, count(*) AS n FROM e LEFT JOIN (SELECT conn_id, min(event_id) AS first FROM e WHERE event_id % 100 = 13 GROUP BY 1) f USING (conn_id) WHERE first IS NULL OR event_id < first GROUP BY 1")
 def rules_close_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = filter.apply_filter(_damaged(events(spark, sf_dir)), {"r": 'event.type == "none"'}, "CLOSE_CONNECTION")
     return found.groupBy("conn_id").agg(F.count(F.lit(1)).alias("n"))
@@ -233,7 +233,7 @@ def batch_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("batch_key", "batch_no").agg(F.count(F.lit(1)).alias("event_count"))
 
 
-@query("SELECT conn_id || ':' || window_id AS batch_key, CASE WHEN count(*) = 50 THEN 'window-boundary' ELSE 'service-disabled' END AS flush_reason, count(*)::INT AS event_count, min(sequence) AS first_seq, count(*) + sum(0) AS lines FROM w GROUP BY conn_id, window_id")
+@query("SELECT conn_id || ':' || window_id AS batch_key, CASE WHEN count(*) = 50 THEN 'window-boundary' ELSE 'service-disabled' END AS flush_reason, count(*)::INT AS event_count, min(sequence) AS first_seq, count(*) AS lines FROM w GROUP BY conn_id, window_id")
 def batch_window_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = keys.with_batch_key(events(spark, sf_dir, True), "WINDOW")
     found = batching.collect_batches(batching.assign_batches(keyed, batching.Limits(strategy="WINDOW", timers=False)))
@@ -241,7 +241,7 @@ def batch_window_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("batch_key", "flush_reason", "event_count", F.col("runs")[0]["first_seq"].alias("first_seq"), lines.alias("lines"))
 
 
-@query("SELECT conn_id || ':' || window_id AS batch_key, 'application/x-ndjson' AS mime, count(*)::VARCHAR AS n, min(sequence)::VARCHAR AS first, max(sequence)::VARCHAR AS last, 47::INT AS size FROM w GROUP BY conn_id, window_id")
+@query("SELECT conn_id || ':' || window_id AS batch_key, 'application/x-ndjson' AS mime, count(*)::VARCHAR AS n, min(sequence)::VARCHAR AS first, max(sequence)::VARCHAR AS last, 45::INT AS size FROM w GROUP BY conn_id, window_id")
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = keys.with_batch_key(events(spark, sf_dir, True), "WINDOW").withColumn("remote_address", F.col("conn_id"))
     found = batching.collect_batches(batching.assign_batches(keyed, batching.Limits(strategy="WINDOW", timers=False)))
