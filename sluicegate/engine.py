@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluicegate.config import Settings
 from sluicegate.operators import batching, filter, keys, ledger, reporting
+from sluicegate.shipping import ship
 from sluicegate.sources import framing
 
 
@@ -29,6 +30,7 @@ def process(captures: DataFrame, settings: Settings = Settings()) -> Result:
     batch. Events up to the first break of a connection count; dropped ones are acknowledged like committed
     ones, in order. Connections are interleaved by the place of their frames.
     """
+    ship(captures.sparkSession)
     frames = framing.decode(captures, settings.frame_limits)
     told = ledger.assign_windows(frames, settings["maximum-events-per-window"])
     given = {c: captures[c] if c in captures.columns else F.lit(None).cast(k) for c, k in (("remote_address", "string"), ("remote_port", "int"), ("tls_subject", "string"), ("tls_issuer", "string"), ("received_ts", "timestamp"))}

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicegate.operators import admission, batching, filter, keys, ledger, reporting
+from sluicegate.shipping import ship
 from sluicegate.sources import framing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,7 @@ E_SQL = """e AS (
 
 def events(spark: SparkSession, sf_dir: str, ledger_columns: bool = False) -> DataFrame:
     """event_id, raw, and with ledger_columns conn_id, sequence, window_id, ...; these need one window per connection."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     df = df.withColumn("ip", F.expr(IP))
     doc = F.struct(
