@@ -6,7 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +14,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluicegate.shipping import ship
+
 _OWN: list[tuple[SparkSession, str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -162,8 +165,3 @@ def _oriented(edges: DataFrame) -> DataFrame:
 def _signature(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
     return row.n, row.x
-
-
-def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow; executors import this package, so run may be any function of it."""
-    return df.mapInArrow(run, schema)
