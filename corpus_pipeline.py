@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluicegate.llm import language_id, line_dedup, mixing, packing, simhash
 from sluicegate.llm.common import table, written
+from sluicegate.shipping import ship
 
 #: A document of whose words this share stands on recurring lines is a copy; the near-duplicate stage judges it.
 COPY = 0.8
@@ -16,6 +17,7 @@ MAX_REPEATS = 1.5
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with enough confidence; the model is fitted on a bounded sample of them."""
+    ship(spark)
     model = language_id.fit_on(docs, F.lit(True))
     return language_id.identify(docs, model).where("not rejected").select(*docs.columns)
 
@@ -26,6 +28,7 @@ def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return simhash.keep_one(docs)
 
 
@@ -35,6 +38,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     pieces = packing.token_pieces(docs.select("doc_id", "text"))
     digests = written(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
     return packing.pack(digests, ["doc_id", "piece", "start", "ids_crc32"])
