@@ -73,6 +73,30 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "source", F.col("tokens").alias("n_words"), "n_rows", "copies")
 
 
+#: The exponent in closed form: the smallest source comes (largest / smallest)^(1 - a) times.
+OP7_SQL = r"""
+WITH u AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '\S+'))::BIGINT AS n_words, count(*) AS n_rows FROM documents GROUP BY 1, 2, 3
+), s AS (
+  SELECT source, sum(n_words * n_rows)::DOUBLE AS words, ceil(count(*) / 512.0)::BIGINT AS blocks FROM u GROUP BY 1
+), t AS (
+  SELECT max(words) AS top, max(words) / min(words) AS ratio FROM s WHERE words > 0
+), r AS (
+  SELECT source, blocks, CASE WHEN words > 0 THEN (top / words) ** (1 - CASE WHEN ratio > 4 THEN 1 - ln(4) / ln(ratio) ELSE 0 END) + 1e-9 ELSE 1 END AS repeats FROM s, t
+), b AS (
+  SELECT u.*, repeats, md5('mix' || coalesce(doc_id::VARCHAR, '')) AS h, ('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 25, 8))::BIGINT % blocks AS block
+  FROM u JOIN r ON u.source IS NOT DISTINCT FROM r.source
+), c AS (
+  SELECT *, sum(n_words * n_rows) OVER (PARTITION BY source, block) AS whole,
+         sum(n_words * n_rows) OVER (PARTITION BY source, block ORDER BY h, doc_id, n_words ROWS UNBOUNDED PRECEDING) - n_words * n_rows AS before
+  FROM b
+)
+SELECT doc_id, source, n_words, n_rows,
+       CASE WHEN n_words > 0 THEN floor(repeats)::BIGINT + (before + n_words * n_rows / 2.0 <= (repeats - floor(repeats)) * whole)::BIGINT ELSE 1 END AS copies
+FROM c
+"""
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -136,4 +160,4 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLES = {"op3_url_filter": OP3_SQL, "op9_chat_format": OP9_SQL}
+ORACLES = {"op3_url_filter": OP3_SQL, "op7_mixing": OP7_SQL, "op9_chat_format": OP9_SQL}
