@@ -22,12 +22,17 @@ def _masked(line: Column) -> Column:
     return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"[^ ]*[0-9][^ ]*", ANY)).otherwise(plain)
 
 
+def _number(text: Column) -> Column:
+    """60 bits of the md5, which other SQL engines have as well."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """(doc, id, no, n, leaf, line, masked) of every line that isn't blank; doc stands for id and text together."""
     doc = docs.where(F.col(text).isNotNull()).select(F.xxhash64(id_col, text).alias("doc"), F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n")).alias("no", "raw"))
     own = doc.where(r"raw rlike '\\S'").select("doc", "id", "no", _masked(F.col("raw")).alias("masked"))
     n = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    return own.select("doc", "id", "no", n.alias("n"), F.xxhash64(n, F.substring_index("masked", " ", DEPTH)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
+    return own.select("doc", "id", "no", n.alias("n"), F.xxhash64(n, F.substring_index("masked", " ", DEPTH)).alias("leaf"), _number(F.col("masked")).alias("line"), "masked")
 
 
 def _merged(light: DataFrame, texts: DataFrame) -> DataFrame:

@@ -28,6 +28,35 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), F.col("n_dropped").cast("long").alias("n_dropped"))
 
 
+OP2_SQL = r"""
+WITH l AS (
+  SELECT doc_id, no - 1 AS no, parts[no] AS raw FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL), LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS no)
+), m AS (
+  SELECT doc_id, no, regexp_replace(trim(regexp_replace(raw, '\s+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM l WHERE regexp_matches(raw, '\S')
+), k AS (
+  SELECT *, string_split(masked, ' ') AS toks, len(string_split(masked, ' ')) AS n, ('0x' || substr(md5(masked), 1, 15))::BIGINT AS line FROM m
+), c AS (
+  SELECT n, toks[1:3] AS lead, line, any_value(toks) AS toks, count(*) AS c FROM k GROUP BY 1, 2, 3
+), top AS (
+  SELECT n, lead, arg_max(line, (c, line)) AS template, arg_max(toks, (c, line)) AS model FROM c GROUP BY 1, 2
+), own AS (
+  SELECT c.n, c.lead, c.line, CASE WHEN list_sum([(c.toks[i] = top.model[i])::INT FOR i IN range(1, c.n + 1)]) >= 0.8 * c.n THEN template ELSE c.line END AS template
+  FROM c JOIN top ON c.n = top.n AND c.lead = top.lead
+), t AS (
+  SELECT k.doc_id, k.no, k.n, k.toks[1:3] AS lead, own.template FROM k JOIN own ON k.n = own.n AND k.toks[1:3] = own.lead AND k.line = own.line
+), held AS (
+  SELECT n, lead, template, min(doc_id) AS first FROM t GROUP BY 1, 2, 3 HAVING count(DISTINCT doc_id) >= CASE WHEN n < 5 THEN 10 ELSE 2 END
+), gone AS (
+  SELECT t.doc_id, t.no FROM t JOIN held ON t.n = held.n AND t.lead = held.lead AND t.template = held.template WHERE t.doc_id <> held.first
+), made AS (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY no) AS text FROM l WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.no = l.no) GROUP BY 1
+)
+SELECT d.doc_id, length(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(made.text, '') END)::INT AS n_chars, md5(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(made.text, '') END) AS text_md5,
+       coalesce(x.n, 0) AS n_dropped
+FROM documents d LEFT JOIN made ON made.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1) x ON x.doc_id = d.doc_id
+"""
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
@@ -160,4 +189,4 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-ORACLES = {"op3_url_filter": OP3_SQL, "op7_mixing": OP7_SQL, "op9_chat_format": OP9_SQL}
+ORACLES = {"op2_line_dedup": OP2_SQL, "op3_url_filter": OP3_SQL, "op7_mixing": OP7_SQL, "op9_chat_format": OP9_SQL}
