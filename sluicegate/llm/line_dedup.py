@@ -40,11 +40,13 @@ def _merged(light: DataFrame, texts: DataFrame) -> DataFrame:
 
     The template of a leaf is its most frequent line, ties by hash; where lines that agree with it at
     SIMILAR of the positions differ from it, it has variable fields. Leaves of one line are left out by their
-    hashes alone, so the text of lines is shuffled once, and only that of other leaves goes further.
+    hashes alone. The text of lines is shuffled once, dealt by leaf and line, after each task has put equal lines
+    together; only that of other leaves goes further.
     """
     classes = light.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("c"))
     top = classes.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.max_by("line", F.struct("c", "line")).alias("template")).where("m > 1").drop("m")
-    own = texts.join(top.hint("shuffle_hash"), "leaf").groupBy("leaf", "line", "template").agg(F.first("masked").alias("masked"))
+    members = classes.join(top, "leaf").select("leaf", "line", "template")
+    own = texts.groupBy("leaf", "line").agg(F.first("masked").alias("masked")).join(members, ["leaf", "line"])
     own = written(own, "line-classes")
     model = own.where("line = template").select("leaf", F.col("masked").alias("model"))
     both = own.where("line <> template").join(model, "leaf")
