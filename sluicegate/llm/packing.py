@@ -32,6 +32,8 @@ _coders: dict[str, Coder] = {}
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: chr(b) if b in _PLAIN else chr(256 + b - sum(x < b for x in _PLAIN)) for b in range(256)}
 
+_SPACE = _SHOWN[32]
+
 
 @cache
 def _packer(n: int) -> Callable[..., bytes]:
@@ -41,6 +43,8 @@ def _packer(n: int) -> Callable[..., bytes]:
 def _parts(chunk: str) -> list[str]:
     """A chunk in parts that the tokenizer's pattern never joins: a line end between two other characters stands
     alone, and stops and commas stand apart from a letter before them and from a line end after them."""
+    if "\n" not in chunk and chunk[-1] not in ".,":
+        return [chunk]
     out = []
     lines = chunk.split("\n") if "\n" in chunk else [chunk]
     if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in (lines[0].lstrip(" "), *lines[1:])):
@@ -109,7 +113,8 @@ class Coder:
         others = []
         for p in parts:
             if p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) or p.isalpha():
-                ids = [t.id for t in tokens(p.encode().decode("latin-1").translate(_SHOWN))]
+                shown = (_SPACE + p[1:] if p[0] == " " else p) if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN)
+                ids = [t.id for t in tokens(shown)]
                 out[p] = _packer(len(ids))(*ids)
             else:
                 others.append(p)
