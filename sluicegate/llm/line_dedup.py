@@ -9,8 +9,10 @@ from sluicegate.llm.common import written
 
 #: Leading tokens that the tree looks at, below the number of tokens.
 DEPTH = 3
-#: Share of positions at which a line agrees with the template of its leaf.
+#: Share of positions at which a line agrees with its template.
 SIMILAR = 0.8
+#: Templates of a leaf that are found by joins over all leaves, before the rest of a leaf is done at once.
+PASSES = 2
 #: Documents across which a template recurs; lines of fewer than SHORT tokens need SHORT_DOCS.
 MIN_DOCS, SHORT, SHORT_DOCS = 2, 5, 10
 ANY = "<*>"
@@ -35,24 +37,56 @@ def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return own.select("doc", "id", "no", n.alias("n"), F.xxhash64(n, F.substring_index("masked", " ", DEPTH)).alias("leaf"), _number(F.col("masked")).alias("line"), "masked")
 
 
-def _merged(light: DataFrame, texts: DataFrame) -> DataFrame:
-    """(leaf, line, template) of the lines that share a template with another line of their leaf.
+def _agree(a: str, b: str) -> str:
+    """SQL: whether two arrays of as many tokens agree at SIMILAR of the places."""
+    return f"size(filter(zip_with({a}, {b}, (p, q) -> p = q), same -> same)) >= {SIMILAR}D * size({a})"
+
 
-    The template of a leaf is its most frequent line, ties by hash; where lines that agree with it at
-    SIMILAR of the positions differ from it, it has variable fields. Leaves of one line are left out by their
-    hashes alone. The text of lines is shuffled once, dealt by leaf and line, after each task has put equal lines
-    together; only that of other leaves goes further.
+def _merged(light: DataFrame, texts: DataFrame) -> DataFrame:
+    """(leaf, line, template) of the lines that share a template of another line of their leaf.
+
+    A leaf has as many templates as its lines need: the most frequent line that agrees with no template so
+    far, ties by hash, is the next one, and a line belongs to the first that it agrees with. The first PASSES
+    templates of a leaf are found with joins, as their lines may be many; _rest does the others. Leaves of one
+    line are left out by their hashes alone, and so are lines too short to differ anywhere. The text of lines is
+    shuffled once, dealt by leaf and line, after each task has put equal lines together; only that of other
+    leaves goes further.
     """
-    classes = light.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("c"))
-    top = classes.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.max_by("line", F.struct("c", "line")).alias("template")).where("m > 1").drop("m")
-    members = classes.join(top, "leaf").select("leaf", "line", "template")
+    classes = light.where(F.ceil(SIMILAR * F.col("n")) < F.col("n")).groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("c"))
+    several = classes.groupBy("leaf").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    members = classes.join(several, "leaf").select("leaf", "line", "c")
     own = texts.groupBy("leaf", "line").agg(F.first("masked").alias("masked")).join(members, ["leaf", "line"])
-    own = written(own, "line-classes")
-    model = own.where("line = template").select("leaf", F.col("masked").alias("model"))
-    both = own.where("line <> template").join(model, "leaf")
-    mine, other = F.split("masked", " "), F.split("model", " ")
-    agree = F.size(F.filter(F.zip_with(mine, other, lambda a, b: a == b), lambda same: same))
-    return both.where(agree >= SIMILAR * F.size(mine)).select("leaf", "line", "template")
+    rest, parts = written(own, "line-classes"), []
+    for _ in range(PASSES):
+        top = rest.groupBy("leaf").agg(F.count(F.lit(1)).alias("m"), F.max_by("line", F.struct("c", "line")).alias("template")).where("m > 1").drop("m")
+        model = rest.join(top, "leaf").where("line = template").select("leaf", "template", F.split("masked", " ").alias("model"))
+        tried = rest.join(model, "leaf").where("line <> template").withColumn("toks", F.split("masked", " "))
+        tried = written(tried.select("leaf", "line", "masked", "c", F.expr(f"if({_agree('toks', 'model')}, template, null)").alias("template")), "line-tried")
+        parts.append(tried.where("template is not null").select("leaf", "line", "template"))
+        rest = tried.where("template is null").drop("template")
+    for part in parts[1:]:
+        parts[0] = parts[0].union(part)
+    return parts[0].union(_rest(rest))
+
+
+def _rest(lines: DataFrame) -> DataFrame:
+    """_merged for lines without a template so far, leaf by leaf in one go.
+
+    Of two lines that agree one run of tokens at least is equal when they are cut into a run more than
+    places may differ. Lines that have no run in common with another stay by themselves.
+    """
+    cut = lines.withColumn("toks", F.split("masked", " ")).withColumn("n", F.size("toks")).withColumn("k", (F.col("n") - F.ceil(SIMILAR * F.col("n")) + 1).cast("int"))
+    start = "cast({i} * (n - @) div k as int)".replace("@", str(DEPTH))
+    a, b = start.format(i="i"), start.format(i="(i + 1)")
+    runs = cut.select("leaf", "line", F.expr(f"explode(transform(sequence(0, k - 1), i -> xxhash64(leaf, i, slice(toks, {DEPTH + 1} + {a}, {b} - {a}))))").alias("run"))
+    shared = runs.groupBy("run").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    near = runs.join(shared, "run", "left_semi").select("leaf", "line").distinct()
+    per = cut.join(near, ["leaf", "line"]).groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("c", "line", "toks")), asc=False).alias("lines"))
+    none = "named_struct('found', cast(array() as array<struct<line: bigint, toks: array<string>>>), 'made', cast(array() as array<struct<line: bigint, template: bigint>>))"
+    made = f"""aggregate(lines, {none}, (s, x) -> element_at(transform(array(filter(s.found, t -> {_agree('x.toks', 't.toks')})), hits -> named_struct(
+        'found', if(size(hits) > 0, s.found, array_append(s.found, named_struct('line', x.line, 'toks', x.toks))),
+        'made', if(size(hits) > 0, array_append(s.made, named_struct('line', x.line, 'template', hits[0].line)), s.made))), 1), s -> s.made)"""
+    return per.select("leaf", F.explode(F.expr(made)).alias("m")).select("leaf", "m.line", "m.template")
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:

@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -92,6 +93,41 @@ def test_templates_with_variable_words(spark):
     assert {r.n_dropped for r in line_dedup.drop_recurring(same, copies_from=0.8).collect()} == {0}
 
 
+def test_leaf_with_several_families(spark):
+    """Families of 60 words in one leaf, equally frequent, of one document for each line: each gets its template."""
+    words = lambda f: ["same", "three", "tokens", *[f"{chr(97 + f)}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(57)]]
+    lines = []
+    for f in range(6):
+        for change in range(3):
+            own = words(f)
+            own[10 + change] = "changed"
+            lines.append(" ".join(own))
+    lines += [" ".join(words(7 + f)) for f in range(3)]
+    lines += ["same three tokens x y", "same three tokens x z", "same three tokens q r", "same three tokens q s"]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_recurring(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()}
+    assert got == {i: int(i < 18 and i % 3 > 0 or i in (22, 24)) for i in range(len(lines))}
+
+
+def test_templates_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    lines = [" ".join(["p", "q", "r", *(f"{'ab'[j % 2]}{'xyz'[v]}" for j, v in enumerate(rng.choice(3, n, p=[0.8, 0.1, 0.1])))]) for n in (2, 3, 7, 9, 12) for _ in range(60)]
+    rows, leaves = brute_lines(list(enumerate(lines)))
+    template = {}
+    for own in leaves.values():
+        number = lambda toks: int(hashlib.md5(" ".join(toks).encode()).hexdigest()[:15], 16)
+        found = []
+        for toks in sorted(own, key=lambda t: (own[t], number(t)), reverse=True):
+            template[toks] = next((f for f in found if sum(map(str.__eq__, f, toks)) >= 0.8 * len(toks)), toks)
+            found += [toks] * (template[toks] == toks)
+    assert max(len({template[t] for t in own}) for own in leaves.values()) > line_dedup.PASSES + 2
+    seen, want = set(), {}
+    for i, _, _, toks in rows:
+        want[i] = int(template[toks] in seen)
+        seen.add(template[toks])
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in line_dedup.drop_recurring(df).collect()} == want
+
+
 def test_short_lines_need_more_documents(spark):
     df = spark.createDataFrame([(i, "yes\nno") for i in range(9)] + [(20 + i, "no") for i in range(3)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in line_dedup.drop_recurring(df).collect()}
