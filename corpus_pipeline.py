@@ -9,8 +9,9 @@ from sluicegate.llm import language_id, line_dedup, mixing, packing, simhash
 from sluicegate.llm.common import table, written
 from sluicegate.shipping import ship
 
-#: A document of whose words this share stands on recurring lines is a copy; the near-duplicate stage judges it.
-COPY = 0.8
+#: A document that shares this part of its words, in whole lines, with one earlier document, and of that one's, is a copy; the near-duplicate
+#: stage judges it. A lower part would leave in passages of documents that the stage doesn't link, as their other words differ.
+COPY = 0.95
 #: How often a small source may come; the largest comes once.
 MAX_REPEATS = 1.5
 

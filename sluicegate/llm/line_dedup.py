@@ -89,12 +89,31 @@ def _rest(lines: DataFrame) -> DataFrame:
     return per.select("leaf", F.explode(F.expr(made)).alias("m")).select("leaf", "m.line", "m.template")
 
 
-def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
+def _copies(found: DataFrame, least: float) -> DataFrame:
+    """(doc, source) of the documents that are a copy of one earlier document as a whole.
+
+    source is the document in which most words of doc's recurring lines stand first. doc is its copy if the
+    lines that both have, as often as both have them, hold the share least of the words of either.
+    """
+    per = found.groupBy("leaf", "template", "n", "doc").agg(F.count(F.lit(1)).alias("times"))
+    sums = per.groupBy("doc").agg(F.sum(F.col("n") * F.col("times")).alias("words"))
+    firsts = found.where("later").groupBy("doc", "first").agg(F.sum("n").alias("held"))
+    source = firsts.groupBy("doc").agg(F.max_by("first", F.struct("held", "first")).alias("source"))
+    source = source.join(sums, "doc").join(sums.select(F.col("doc").alias("source"), F.col("words").alias("source_words")), "source")
+    source = source.where((F.col("words") >= least * F.col("source_words")) & (F.col("source_words") >= least * F.col("words")))
+    mine = per.join(source, "doc").select("source", "doc", "leaf", "template", "n", "times", F.greatest("words", "source_words").alias("most"))
+    theirs = per.select(F.col("doc").alias("source"), "leaf", "template", F.col("times").alias("there"))
+    both = mine.join(theirs, ["source", "leaf", "template"]).groupBy("doc", "source", "most").agg(F.sum(F.col("n") * F.least("times", "there")).alias("shared"))
+    return both.where(F.col("shared") >= least * F.col("most")).select("doc", "source")
+
+
+def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, copies_from: float | None = None) -> DataFrame:
     """(doc, n_lines, words, recurring, recurring_words) of every document that has lines.
 
     recurring: the numbers of its lines, from 0, whose template also stands in an earlier document. The
     earliest, by id (nulls last) and hash, keeps its lines. doc is the hash of id and text, so repeated
-    rows are one document.
+    rows are one document. With copies_from, lines that a copy has from the document it is a copy of
+    don't count as recurring.
     """
     light = written(_lines(docs, id_col, text).drop("masked"), "lines")
     merged = _merged(light, _lines(docs, id_col, text).select("leaf", "line", "masked"))
@@ -105,6 +124,9 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     held = per.groupBy("leaf", "template", "n").agg(F.count(F.lit(1)).alias("docs"), F.min("place").alias("first"))
     held = held.where(F.col("docs") >= F.when(F.col("n") < SHORT, max(min_docs, SHORT_DOCS)).otherwise(min_docs)).select("leaf", "template", F.col("first.doc").alias("first"))
     found = own.join(held, ["leaf", "template"], "left").withColumn("later", F.coalesce(F.col("first") != F.col("doc"), F.lit(False)))
+    if copies_from is not None:
+        found = written(found.dropDuplicates(["doc", "no"]), "line-firsts")
+        found = found.join(_copies(found, copies_from), "doc", "left").withColumn("later", F.col("later") & ~F.coalesce(F.col("source") == F.col("first"), F.lit(False)))
     return found.groupBy("doc").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("n").alias("words"),
@@ -117,14 +139,13 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """docs with text without its recurring lines, and n_dropped, the number of lines taken out.
 
     A line goes if its template stands in min_docs documents or more, of which this isn't the first.
-    Blank lines, null and empty texts stay as they are; no row goes. With copies_from, a document
-    whose recurring lines hold that share of its words or more is a copy as a whole, which a document-level operator
-    should judge: it stays as it is. A column n_dropped of docs is replaced.
+    Blank lines, null and empty texts stay as they are; no row goes. With copies_from, a document that
+    shares lines of that part of its words with one earlier document, and of that part of the other's words, is a copy as
+    a whole, which a document-level operator should judge: it keeps the lines that the other keeps, and loses those
+    that stand first in any third one. A column n_dropped of docs is replaced.
     """
     columns = [c for c in docs.columns if c != "n_dropped"]
-    found = recurring_lines(docs, id_col, text, min_docs).where("size(recurring) > 0")
-    if copies_from is not None:
-        found = found.where(F.col("recurring_words") < copies_from * F.col("words"))
+    found = recurring_lines(docs, id_col, text, min_docs, copies_from).where("size(recurring) > 0")
     rows = docs.select(*columns, F.xxhash64(id_col, text).alias("_doc")).join(found.select(F.col("doc").alias("_doc"), "recurring").hint("shuffle_hash"), "_doc", "left")
     kept = F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(F.col("recurring"), i))
     made = F.when(F.col("recurring").isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.concat_ws("\n", kept))

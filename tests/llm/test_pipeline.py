@@ -27,3 +27,20 @@ def test_exact_copies_leave_one(spark):
         docs = p.written(stage(spark, docs, SMALL), "t")
     ids = [r.doc_id for r in docs.collect()]
     assert [i for i in ids if i < 100] == [0]
+
+
+def test_only_copies_of_one_document_keep_recurring_lines(spark):
+    words = lambda name, n: " ".join(f"{name}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n))
+    a, b, c = words("a", 60), words("b", 60), words("c", 60)
+    texts = [
+        f"{a}\n{words('d', 10)}", f"{b}\n{c}\n{words('e', 90)}", f"{a}\n{words('f', 10)}",  # 2: a passage and ten words
+        f"{a}\n{b}\n{c}", a, f"{b}\n{c}",  # of several documents; a part of one
+        f"{b}\n{c}\n{words('e', 90)}", f"{words('g', 600)}\n{words('h', 590)}\n{a}", f"{words('g', 600)}\n{words('h', 590)}\n{a}",  # copies
+        f"{words('k', 60)}\n{words('m', 60)}", "\n".join([words("k", 60)] * 2),  # one line of it twice
+        *[f"{words('n', 40)}\nyes no\nnot now\nof course"] * 2,  # a copy of which short lines are too rare to recur
+    ]
+    want = dict(enumerate(texts)) | {2: words("f", 10), 3: "", 4: "", 5: "", 7: f"{words('g', 600)}\n{words('h', 590)}", 8: f"{words('g', 600)}\n{words('h', 590)}", 10: ""}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in p.without_recurring_lines(spark, docs, SMALL).collect()}
+    assert {i: r.text for i, r in got.items()} == want
+    assert {i: r.n_chars for i, r in got.items()} == {i: len(t) for i, t in want.items()}
