@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
-import re
-import struct
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
-from functools import cache
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -23,170 +21,166 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces of one length that are ranked together in one task, about.
 RANKED = 512
-#: Characters of a text that are cut into chunks at a time; longer chunks than KEPT_CHARS are not kept.
-PIECE, KEPT_CHARS, KEPT_CHUNKS, KEPT_PARTS = 1 << 20, 48, 400_000, 500_000
-_BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
-_DOUBLE = re.compile(r"\s ")
-_coders: dict[str, Coder] = {}
-#: The printable character that byte-level vocabularies write for each byte: its own where that shows, else from 256 on.
-_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_SHOWN = {b: chr(b) if b in _PLAIN else chr(256 + b - sum(x < b for x in _PLAIN)) for b in range(256)}
-
-_SPACE = _SHOWN[32]
-
-
-@cache
-def _packer(n: int) -> Callable[..., bytes]:
-    return struct.Struct(f"<{n}I").pack
-
-
-def _parts(chunk: str) -> list[str]:
-    """A chunk in parts that the tokenizer's pattern never joins: a line end between two other characters stands
-    alone, and stops and commas stand apart from a letter before them and from a line end after them."""
-    if "\n" not in chunk and chunk[-1] not in ".,":
-        return [chunk]
-    out = []
-    lines = chunk.split("\n") if "\n" in chunk else [chunk]
-    if len(lines) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in (lines[0].lstrip(" "), *lines[1:])):
-        return [chunk]
-    for i, line in enumerate(lines):
-        if i:
-            out.append("\n")
-        word = line.rstrip(".,")
-        if word != line and word and word[-1].isalpha():
-            out += [word, line[len(word) :]]
-        else:
-            out.append(line)
+#: Bytes of text whose distinct chunks are encoded together, chunks that the tokenizer gets at a time, pieces handed on at a time.
+GROUP, AT_ONCE, HANDED = 1 << 24, 2000, 1 << 14
+_LETTER, _BLANK, _MARK, _WIDE, _ODD = range(5)
+_KIND = np.array([_WIDE if c >= 128 else _ODD if 28 <= c < 32 else _LETTER if chr(c).isalpha() else _BLANK if chr(c).isspace() else _MARK for c in range(256)], dtype=np.uint8)
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """For each place in UTF-8 bytes whether a text may be cut before it without changing its byte-level tokens.
+
+    The pattern of these tokenizers goes from left to right, looks back at nothing, and no match goes from a letter or mark
+    on into white space, nor from a letter on into a mark. So it may be cut before white space that follows something
+    else, between a letter and a mark, and after a line end that stands alone. Characters beyond ASCII count only
+    where a byte or two tell their kind.
+    """
+    kind = np.concatenate([np.full(3, _BLANK, dtype=np.uint8), _KIND[data]])
+    byte = np.concatenate([np.full(3, 32, dtype=np.uint8), data])
+    here, k1, k2 = kind[3:], kind[2:-1], kind[1:-2]
+    b0, b1, b2, b3 = byte[3:], byte[2:-1], byte[1:-2], byte[:-3]
+    out = (here == _BLANK) & (k1 != _BLANK) & (k1 != _ODD)
+    wide = np.flatnonzero(out & (k1 == _WIDE))  # perhaps white space
+    x1, x2, x3 = b1[wide], b2[wide], b3[wide]
+    out[wide] = ~(((x2 == 0xC2) & ((x1 == 0x85) | (x1 == 0xA0))) | (x3 == 0xE1) | (x3 == 0xE3) | ((x3 == 0xE2) & (x2 <= 0x81)))
+    out |= (here == _MARK) & ((k1 == _LETTER) | ((b2 == 0xC3) & (b1 != 0x97) & (b1 != 0xB7)))
+    alone = (b1 == 10) & ((k2 == _LETTER) | (k2 == _MARK) | (b3 == 0xC3))
+    out |= alone & ((here == _LETTER) | (here == _MARK) | ((here == _WIDE) & (b0 == 0xC3)))
+    out[:1] = True
     return out
 
 
-@dataclass
 class Coder:
-    """Token ids of whole texts; ids of frequent chunks are kept.
+    """Token ids of whole texts. The distinct chunks of GROUP bytes of text are encoded once; nothing is kept beyond them.
 
-    The tokenizer's pattern never joins a space to what stands before it, unless that is white space
-    too. So a text may be cut before every space that follows another character, and the ids of its
-    chunks, end to end, are those of the whole text.
+    Strings of added tokens in a text become those tokens, unless special_as_text. With a tokenizer that isn't
+    byte-level, every text is one chunk.
     """
 
-    tokenizer: Tokenizer
-    known: dict[str, bytes] = field(default_factory=dict)
-    parts: dict[str, bytes] = field(default_factory=dict)
-
-    @staticmethod
-    def of(path: str) -> Coder:
-        if path not in _coders:
-            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-            tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
-            _coders[path] = Coder(tokenizer)
-        return _coders[path]
-
-    def chunks(self, text: str) -> Iterator[list[str]]:
-        at = 0
-        while at < len(text):
-            cut = _BEFORE_SPACE.search(text, at + PIECE) if at + PIECE < len(text) else None
-            part = text[at : cut.start() if cut else len(text)]
-            at += len(part)
-            if _DOUBLE.search(part):
-                yield _BEFORE_SPACE.split(part)
-            else:
-                words = part.split(" ")
-                yield [*([words[0]] if words[0] else []), *[f" {w}" for w in words[1:]]]
-
-    def learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that aren't known. Short ones are known from now on."""
-        parts, new = self.parts, {c: _parts(c) for c in chunks if c not in self.known}
-        parts |= self.each({p for own in new.values() for p in own if p not in parts})
-        made = {c: b"".join([parts[p] for p in own]) for c, own in new.items()}
-        self.known |= {c: ids for c, ids in made.items() if len(c) <= KEPT_CHARS}
-        for c, own in new.items():
-            if len(c) > KEPT_CHARS:
-                for p in own:
-                    parts.pop(p, None)
-        return made
-
-    def each(self, parts: set[str]) -> dict[str, bytes]:
-        """The ids of every part. Letters, with or without a space in front, are one word to the tokenizer's pattern,
-        so they go straight to its model, in its own characters for bytes."""
-        out, tokens = {}, self.tokenizer.model.tokenize
-        others = []
-        for p in parts:
-            if p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) or p.isalpha():
-                shown = (_SPACE + p[1:] if p[0] == " " else p) if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN)
-                ids = [t.id for t in tokens(shown)]
-                out[p] = _packer(len(ids))(*ids)
-            else:
-                others.append(p)
-        for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            out[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return out
-
-    def many(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text; unknown chunks of about PIECE characters are learned at once."""
-        out, held, size = [], [], 0
-        for text in texts:
-            if len(text) > PIECE:
-                out += self._group(held)
-                held, size = [], 0
-                out.append(b"".join([self._group([c])[0] for c in self.chunks(text)]))
-                continue
-            held.append(next(self.chunks(text), []))
-            size += len(text)
-            if size > PIECE:
-                out += self._group(held)
-                held, size = [], 0
-        return out + self._group(held)
-
-    def _group(self, held: list[list[str]]) -> list[bytes]:
-        known = self.known
-        if len(known) > KEPT_CHUNKS:
-            known.clear()
-        if len(self.parts) > KEPT_PARTS:
-            self.parts.clear()
-        made = self.learn(set().union(*held) - known.keys()) if held else {}
-        if any(len(c) > KEPT_CHARS for c in made):
-            return [b"".join([known[c] if c in known else made[c] for c in own]) for own in held]
-        return [b"".join([known[c] for c in own]) for own in held]
-
-    def ids(self, text: str) -> bytes:
-        return self.many([text])[0]
+    def __init__(self, path: str, special_as_text: bool = False):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = special_as_text
+        told = json.loads(self.tokenizer.to_str())
+        before, added = told["pre_tokenizer"] or {}, [t for t in told["added_tokens"] if not (special_as_text and t["special"])]
+        self.added = [t["content"].encode() for t in added]
+        self.cuttable = (
+            told["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before["add_prefix_space"]
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+        )
+        # a byte-level token has a character for each of its bytes
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.bytes[i] = len(token)
+        for t in told["added_tokens"]:
+            self.bytes[t["id"]] = len(t["content"].encode())
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end (null: empty), and for each text, and at the end, how many ids stand before it."""
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        ends = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, dtype=np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        before, parts, at, total = np.zeros(len(ends), dtype=np.int64), [np.zeros(0, dtype="<u4")], 0, 0
+        while at < len(data):
+            starts, to = self._window(data, ends, at)
+            ids, n = self._ids(data[at:to], starts - at)
+            inside = slice(np.searchsorted(ends, at, side="right"), np.searchsorted(ends, to, side="right"))
+            before[inside] = total + n[np.searchsorted(starts, ends[inside])]
+            parts.append(ids)
+            at, total = to, total + len(ids)
+        return np.concatenate(parts), before
+
+    def _window(self, data: np.ndarray, ends: np.ndarray, at: int) -> tuple[np.ndarray, int]:
+        """Where the chunks of data[at:to] start; to is a cut, about GROUP bytes on."""
+        size, margin = GROUP, max([4, *map(len, self.added)])
+        while True:
+            to = min(at + size, len(data))
+            cut = cuts(data[at:to]) if self.cuttable else np.zeros(to - at, dtype=bool)
+            raw = data[at:to].tobytes() if self.added else b""
+            for token in self.added:
+                found = raw.find(token)
+                while found >= 0:  # none inside a token's string
+                    cut[found + 1 : found + len(token)] = False
+                    found = raw.find(token, found + 1)
+            cut[ends[np.searchsorted(ends, at) : np.searchsorted(ends, to)] - at] = True
+            cut[0] = True
+            starts = np.flatnonzero(cut) + at
+            if to == len(data):
+                return starts, to
+            last = int(starts[np.searchsorted(starts, to - margin, side="right") - 1])
+            if last > at:
+                return starts[: np.searchsorted(starts, last)], last
+            size *= 2
+
+    def _ids(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks end to end, and for each chunk, and at the end, how many ids stand before it."""
+        offsets = np.append(starts, len(data)).astype(np.int64)
+        chunks = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        if not self.cuttable:
+            found = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(chunks.dictionary.to_pylist(), add_special_tokens=False)]
+            sizes = np.array([len(x) for x in found], dtype=np.int64)
+        else:
+            distinct, found = chunks.dictionary.to_pylist(), []
+            for at in range(0, len(distinct), 32 * AT_ONCE):
+                own = [distinct[i : i + AT_ONCE] for i in range(at, min(at + 32 * AT_ONCE, len(distinct)), AT_ONCE)]
+                found += [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(own, is_pretokenized=True, add_special_tokens=False)]
+            ends = np.cumsum(np.concatenate([self.bytes[x] for x in found]))
+            sizes = np.diff(np.searchsorted(ends, np.cumsum(pc.binary_length(chunks.dictionary).to_numpy())) + 1, prepend=0)
+        first, of = np.cumsum(sizes) - sizes, chunks.indices.to_numpy()
+        n = np.append(0, np.cumsum(sizes[of]))
+        places = np.arange(n[-1]) + np.repeat(first[of] - n[:-1], sizes[of])
+        return np.concatenate(found)[places], n
 
 
 def token_pieces(
-    docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID
+    docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, special_as_text: bool = False
 ) -> DataFrame:
     """One row per piece of each document: the columns of docs without text, piece, start, length, ids.
 
     The ids of a document are those of its whole text (null: empty) and end_id. A document of more than
     capacity ids is cut: all pieces but the first have capacity ids. ids: little-endian unsigned 32-bit
     numbers. Repeated rows give repeated pieces; columns named piece, start, length or ids are replaced.
+    An empty table gives an empty result. special_as_text: see Coder.
     """
     path = path or public_tokenizers.path(TOKENIZER)
-    kept = [c for c in docs.columns if c not in (text, "piece", "start", "length", "ids")]
+    made = ["piece", "start", "length", "ids"]
+    kept = [c for c in docs.columns if c not in (text, *made)]
     zero = F.lit(0).cast("long")
     schema = docs.select(*kept, F.lit(0).alias("piece"), zero.alias("start"), zero.alias("length"), F.lit(b"").alias("ids")).schema
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder.of(path)
+        coder = Coder(path, special_as_text)
         for batch in batches:
-            rows, piece, start, ids = [], [], [], []
-            texts = [x or "" for x in batch.column(batch.schema.get_field_index("_text")).to_pylist()]
-            for row, data in enumerate(coder.many(texts)):
-                data += end
-                n = len(data) // 4
-                cuts = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
-                for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    rows.append(row)
-                    piece.append(i)
-                    start.append(a)
-                    ids.append(data[4 * a : 4 * b])
-            at = pa.array(rows, type=pa.int64())
-            made = [pa.array(piece, type=pa.int32()), pa.array(start, type=pa.int64()), pa.array([len(x) // 4 for x in ids], type=pa.int64()), pa.array(ids, type=pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in kept), *made], names=[*kept, "piece", "start", "length", "ids"])
-
-    return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(run, schema)
+            texts = batch.column(len(kept))
+            sizes = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)))
+            at = 0
+            while at < len(texts):
+                to = max(at + 1, int(np.searchsorted(sizes, sizes[at] + GROUP, side="right")) - 1)
+                ids, before = coder.encoded(texts.slice(at, to - at))
+                data = np.insert(ids, before[1:], end_id).astype("<u4", copy=False)
+                yield from _cut(batch.slice(at, to - at), len(kept), data, before + np.arange(len(before)), capacity)
+                at = to
+
+    return docs.select(*kept, F.col(text)).mapInArrow(run, schema)
+
+
+def _cut(rows: pa.RecordBatch, kept: int, data: np.ndarray, before: np.ndarray, capacity: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of rows, whose ids in data begin at before, HANDED at a time."""
+    n = np.diff(before)
+    many = -(-n // capacity)
+    row = np.repeat(np.arange(len(n)), many)
+    piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    head = n - (many - 1) * capacity
+    start = np.where(piece == 0, 0, head[row] + (piece - 1) * capacity)
+    length = np.where(piece == 0, head[row], capacity)
+    ends = np.append(0, np.cumsum(length))
+    for a in range(0, len(row), HANDED):
+        b = min(a + HANDED, len(row))
+        ids = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(((ends[a : b + 1] - ends[a]) * 4).astype(np.int32)), pa.py_buffer(data[ends[a] : ends[b]])])
+        own = rows.take(pa.array(row[a:b]))
+        made = [pa.array(piece[a:b], type=pa.int32()), pa.array(start[a:b], type=pa.int64()), pa.array(length[a:b], type=pa.int64()), ids]
+        yield pa.RecordBatch.from_arrays([*own.columns[:kept], *made], names=[*rows.schema.names[:kept], "piece", "start", "length", "ids"])
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
