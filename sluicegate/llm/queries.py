@@ -28,24 +28,27 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), F.col("n_dropped").cast("long").alias("n_dropped"))
 
 
+#: A leaf is gone through by rounds, each of which finds one more template.
 OP2_SQL = r"""
-WITH l AS (
+WITH RECURSIVE l AS (
   SELECT doc_id, no - 1 AS no, parts[no] AS raw FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL), LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS no)
 ), m AS (
   SELECT doc_id, no, regexp_replace(trim(regexp_replace(raw, '\s+', ' ', 'g')), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM l WHERE regexp_matches(raw, '\S')
 ), k AS (
-  SELECT *, string_split(masked, ' ') AS toks, len(string_split(masked, ' ')) AS n, ('0x' || substr(md5(masked), 1, 15))::BIGINT AS line FROM m
+  SELECT *, string_split(masked, ' ') AS toks, len(string_split(masked, ' ')) AS n FROM m
 ), c AS (
-  SELECT n, toks[1:3] AS lead, line, any_value(toks) AS toks, count(*) AS c FROM k GROUP BY 1, 2, 3
-), top AS (
-  SELECT n, lead, arg_max(line, (c, line)) AS template, arg_max(toks, (c, line)) AS model FROM c GROUP BY 1, 2
+  SELECT n, toks[1:3] AS lead, masked, any_value(toks) AS toks, count(*) AS c, md5(masked) AS tie, count(*) OVER (PARTITION BY n, toks[1:3]) AS m FROM k GROUP BY n, toks[1:3], masked
+), round AS (
+  SELECT n, lead, masked, toks, c, tie, NULL::VARCHAR AS template FROM c WHERE m > 1
+  UNION ALL
+  SELECT n, lead, masked, toks, c, tie, CASE WHEN list_sum([(toks[i] = model[i])::INT FOR i IN range(1, n + 1)]) >= 0.8 * n THEN top END
+  FROM (SELECT *, first_value(masked) OVER w AS top, first_value(toks) OVER w AS model FROM round WHERE template IS NULL WINDOW w AS (PARTITION BY n, lead ORDER BY c DESC, tie DESC))
 ), own AS (
-  SELECT c.n, c.lead, c.line, CASE WHEN list_sum([(c.toks[i] = top.model[i])::INT FOR i IN range(1, c.n + 1)]) >= 0.8 * c.n THEN template ELSE c.line END AS template
-  FROM c JOIN top ON c.n = top.n AND c.lead = top.lead
+  SELECT n, lead, masked, template FROM round WHERE template IS NOT NULL UNION ALL SELECT n, lead, masked, masked FROM c WHERE m = 1
 ), t AS (
-  SELECT k.doc_id, k.no, k.n, k.toks[1:3] AS lead, own.template FROM k JOIN own ON k.n = own.n AND k.toks[1:3] = own.lead AND k.line = own.line
+  SELECT k.doc_id, k.no, k.n, k.masked, own.lead, own.template FROM k JOIN own ON k.n = own.n AND k.masked = own.masked
 ), held AS (
-  SELECT n, lead, template, min(doc_id) AS first FROM t GROUP BY 1, 2, 3 HAVING count(DISTINCT doc_id) >= CASE WHEN n < 5 THEN 10 ELSE 2 END
+  SELECT n, lead, template, min(doc_id) AS first FROM t GROUP BY 1, 2, 3 HAVING count(DISTINCT doc_id) >= CASE WHEN n < 5 AND max(length(masked)) < 40 THEN 10 ELSE 2 END
 ), gone AS (
   SELECT t.doc_id, t.no FROM t JOIN held ON t.n = held.n AND t.lead = held.lead AND t.template = held.template WHERE t.doc_id <> held.first
 ), made AS (

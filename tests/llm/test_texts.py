@@ -1,5 +1,7 @@
 import hashlib
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -58,18 +60,24 @@ def test_language_pieces_agree(monkeypatch):
 
 
 def brute_lines(rows, min_docs=2):
-    """(id, text) to texts without recurring lines, by looking at every pair of lines of a leaf."""
-    import re
-
-    def masked(line):
-        return [("<*>" if re.search("[0-9]", t) else t) for t in line.split()]
-
-    lines = [(i, d, no, tuple(masked(x))) for i, (d, text) in enumerate(rows) for no, x in enumerate((text or "").split("\n")) if x.strip()]
-    leaves = {}
-    for _, _, _, toks in lines:
-        own = leaves.setdefault((len(toks), toks[:3]), {})
-        own[toks] = own.get(toks, 0) + 1
-    return lines, leaves
+    """How many lines each (id, text) loses, ids ascending, by going through the lines of every leaf one after another."""
+    lines = [(i, tuple("<*>" if re.search("[0-9]", t) else t for t in x.split())) for i, text in rows for x in (text or "").split("\n") if x.strip()]
+    leaves, template, docs = {}, {}, {}
+    for _, toks in lines:
+        leaves.setdefault((len(toks), toks[:3]), Counter())[toks] += 1
+    for own in leaves.values():
+        found = []
+        for toks in sorted(own, key=lambda t: (own[t], hashlib.md5(" ".join(t).encode()).hexdigest()), reverse=True):
+            template[toks] = next((f for f in found if sum(map(str.__eq__, f, toks)) >= 0.8 * len(toks)), toks)
+            found += [toks] * (template[toks] == toks)
+    for i, toks in lines:
+        docs.setdefault(template[toks], {}).setdefault(i, set()).add(len(toks) < 5 and len(" ".join(toks)) < 40)
+    lost = dict.fromkeys((i for i, _ in rows), 0)
+    for i, toks in lines:
+        own = docs[template[toks]]
+        need = max(min_docs, 10) if all(all(x) for x in own.values()) else min_docs
+        lost[i] += len(own) >= need and i != min(own)
+    return lost, leaves, template
 
 
 def test_lines_shared_by_documents_go(spark):
@@ -108,30 +116,47 @@ def test_leaf_with_several_families(spark):
     assert got == {i: int(i < 18 and i % 3 > 0 or i in (22, 24)) for i in range(len(lines))}
 
 
-def test_templates_against_brute_force(spark):
+@pytest.mark.parametrize("head", [3, 256])
+def test_templates_against_brute_force(spark, monkeypatch, head):
+    monkeypatch.setattr(line_dedup, "HEAD", head)
     rng = np.random.default_rng(5)
     lines = [" ".join(["p", "q", "r", *(f"{'ab'[j % 2]}{'xyz'[v]}" for j, v in enumerate(rng.choice(3, n, p=[0.8, 0.1, 0.1])))]) for n in (2, 3, 7, 9, 12) for _ in range(60)]
-    rows, leaves = brute_lines(list(enumerate(lines)))
-    template = {}
-    for own in leaves.values():
-        number = lambda toks: int(hashlib.md5(" ".join(toks).encode()).hexdigest()[:15], 16)
-        found = []
-        for toks in sorted(own, key=lambda t: (own[t], number(t)), reverse=True):
-            template[toks] = next((f for f in found if sum(map(str.__eq__, f, toks)) >= 0.8 * len(toks)), toks)
-            found += [toks] * (template[toks] == toks)
-    assert max(len({template[t] for t in own}) for own in leaves.values()) > line_dedup.PASSES + 2
-    seen, want = set(), {}
-    for i, _, _, toks in rows:
-        want[i] = int(template[toks] in seen)
-        seen.add(template[toks])
+    want, leaves, template = brute_lines(list(enumerate(lines)))
+    assert max(len({template[t] for t in own}) for own in leaves.values()) > 5
     df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     assert {r.doc_id: r.n_dropped for r in line_dedup.drop_recurring(df).collect()} == want
 
 
+def test_unrelated_lines_of_a_leaf_change_nothing(spark):
+    words = ["lead", "of", "leaf", *[f"w{chr(97 + i)}" for i in range(12)]]
+    own = [" ".join([*words[:7], f"x{c}", *words[8:]]) for c in "abcd"]
+    other = " ".join(["lead", "of", "leaf", *[f"z{chr(97 + i)}" for i in range(12)]])
+    for more, want in ([], 3), ([other] * 3, 5):
+        df = spark.createDataFrame(list(enumerate(own + more)), "doc_id long, text string")
+        assert sum(r.n_dropped for r in line_dedup.drop_recurring(df).collect()) == want
+
+
+def test_line_query_against_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    assert {r.doc_id: r.n_dropped for r in queries.op2_line_dedup(spark, SMALL).collect()} == brute_lines(docs)[0]
+
+
+def test_lines_with_clashing_columns(spark):
+    names = ["recurring", "_doc", "_id", "doc", "id", "c0", "leaf", "a.b"]
+    rows = [(i, "a line of six or more words", *[f"{i}{n}" for n in names]) for i in range(3)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    got = line_dedup.drop_recurring(df)
+    assert got.columns == [*df.columns, "n_dropped"]
+    assert sorted(got.collect()) == sorted((i, "" if i else t, *x, int(i > 0)) for i, t, *x in rows)
+
+
 def test_short_lines_need_more_documents(spark):
     df = spark.createDataFrame([(i, "yes\nno") for i in range(9)] + [(20 + i, "no") for i in range(3)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in line_dedup.drop_recurring(df).collect()}
     assert got[0] == "yes\nno" and got[5] == "yes" and got[21] == ""
+    assert {r.doc_id: r.text for r in line_dedup.drop_recurring(df, short=0).collect()}[5] == ""
+    long = spark.createDataFrame([(i, "\u6587" * 60) for i in range(2)], "doc_id long, text string")  # one token, but not short
+    assert [r.n_dropped for r in line_dedup.drop_recurring(long).orderBy("doc_id").collect()] == [0, 1]
 
 
 # urls
@@ -255,25 +280,63 @@ def test_chat_odd_rows(spark, monkeypatch):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+
 
+SPLITS = [" ", "  ", "\n", "\n ", " \n", "ab", "A", "\u00e9", ",", ".", "'", "'s", "'re", "1", "\u00a0", "\u0085", "\t", "\r\n", "<|endoftext|>", "<|endof", "text|>", "\u4e2d", "\u306f", "x\x1c", "\x1c", "\u00d7", "\u2019", "\u2014", "\u2009", "\u3000", "\u00df"]
 
-@settings(max_examples=400, deadline=None)
-@given(st.one_of(st.lists(st.sampled_from([" ", "  ", "\n", "\n ", " \n", "ab", "é", ",", ".", "'s", "1", "\u00a0", "\t", "<|endoftext|>", "中", "x\x1c"]), max_size=14).map("".join), st.text(max_size=30)))
-def test_ids_of_chunks_are_those_of_the_text(text):
-    coder = packing.Coder.of(public_tokenizers.path(packing.TOKENIZER))
-    want = coder.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(coder.ids(text), dtype="<u4").tolist() == want
 
+@pytest.fixture(scope="module", params=[False, True])
+def coder(request):
+    return packing.Coder(public_tokenizers.path(packing.TOKENIZER), request.param)
 
-def test_ids_in_pieces(monkeypatch, tokenizer):
-    monkeypatch.setattr(packing, "PIECE", 20)
-    coder = packing.Coder(tokenizer)
-    texts = ["Wort, und noch\n\n eins  mehr. " * 9, "", "x" * 100, "ab " * 30]
-    for t, ids in zip(texts, coder.many(texts)):
-        assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.lists(st.sampled_from(SPLITS), max_size=14).map("".join), st.text(max_size=30)), max_size=4), st.sampled_from([16, 1 << 20]))
+def test_ids_are_those_of_the_whole_texts(coder, texts, group):
+    plain, packing.GROUP = packing.GROUP, group
+    try:
+        ids, before = coder.encoded(pa.array(texts, type=pa.string()))
+    finally:
+        packing.GROUP = plain
+    want = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:])] == want
+
+
+def test_special_strings(tokenizer):
+    path, text = public_tokenizers.path(packing.TOKENIZER), pa.array(["a<|endoftext|> x"])
+    assert packing.Coder(path).encoded(text)[0].tolist() == tokenizer.encode("a<|endoftext|> x", add_special_tokens=False).ids
+    assert 50256 in packing.Coder(path).encoded(text)[0] and 50256 not in packing.Coder(path, True).encoded(text)[0]
+
+
+def test_other_tokenizers():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["Some Words, and\nmore.  Of them", "", "\u00e9t\u00e9 <|endoftext|> x"]
+    ids, before = packing.Coder(path).encoded(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:])] == [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing_query_against_plain_tokenizer(spark, tokenizer):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got, want, lengths = queries.op10_best_fit_packing(spark, SMALL).collect(), [], []
+    for i, text in docs.items():
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], dtype="<u4")
+        at = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)] if len(ids) > 1024 else [0, len(ids)]
+        want += [(i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(at, at[1:]))]
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    ends = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 1024
+    bins = []
+    for n in sorted((w[3] for w in want), reverse=True):
+        best = min((i for i, rest in enumerate(bins) if rest >= n), key=bins.__getitem__, default=None)
+        if best is None:
+            bins.append(1024 - n)
+        else:
+            bins[best] -= n
+    assert len(ends) <= len(bins)
 
 
 @settings(max_examples=200, deadline=None)
@@ -304,6 +367,7 @@ def test_plan_fills_every_slot_once(histogram):
 def test_packing_odd_rows(spark, tokenizer):
     texts = [*ODD_TEXTS, "a b c " * 700]
     rows = [(i, t, "z") for i, t in enumerate(texts)] + [(None, "null id", "z"), (4, "x", "z")]
+    assert packing.token_pieces(spark.createDataFrame(rows, "doc_id long, text string, _text string")).select("_text").distinct().count() == 1
     got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string, piece string")).collect()
     by = {}
     for r in got:
