@@ -41,6 +41,7 @@ def test_fingerprint_in_pieces(monkeypatch):
     whole = simhash.fingerprint(text.encode())
     monkeypatch.setattr(simhash, "PIECE", 50)
     assert simhash.fingerprint(text.encode()) == whole == brute_fingerprint(text) - (1 << 64 if whole < 0 else 0)
+    assert simhash.fingerprint(text.encode(), 1) % (1 << 64) == brute_fingerprint(text, 1)
 
 
 @settings(max_examples=200, deadline=None)
@@ -84,6 +85,9 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_groups(empty).count() == simhash.keep_one(empty).count() == 0
     clash = df.withColumnsRenamed({"lang": "fp"}).withColumn("_row", df.doc_id)
     assert simhash.near_groups(clash).columns == ["doc_id", "_row", "fp", "component_id"]
+    clash = clash.withColumnsRenamed({"_row": "c1"}).withColumn("_row", clash.doc_id).withColumn("_fp", clash.doc_id)
+    assert simhash.keep_one(clash).columns == clash.columns
+    assert sorted((r.doc_id, r._row) for r in simhash.keep_one(clash).collect()) == [(i, i) for i in (1, 4, 7, 8)]
 
 
 def test_simhash_query_against_brute_force(spark):
@@ -151,6 +155,53 @@ def test_forest_against_brute_force(spark):
     assert [got[4000][r][0] for r in range(1, 6)] == [4001, 4002, 4003, 4004, 4005]
 
 
+def brute_nearest(ids, x):
+    """{query: its nearest ids in order} for the ids that 50 divides."""
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    out = {}
+    for q in np.flatnonzero(ids % 50 == 0):
+        cos = u @ u[q]
+        out[int(ids[q])] = [int(ids[i]) for i in sorted(range(len(x)), key=lambda i: (-round(cos[i], 12), ids[i])) if i != q][:5]
+    return out
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_forest_query_against_brute_force(spark, sf):
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").toPandas()
+    want, got = brute_nearest(rows.vec_id.to_numpy(), np.array(rows.embedding.tolist(), dtype=float)), {}
+    for r in queries.op6_nearest(spark, f"/root/testdata/{sf}").orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got.keys() == want.keys() and {len(x) for x in got.values()} == {5}
+    assert np.mean([len(set(got[q]) & set(want[q])) / 5 for q in want]) >= 0.9
+
+
+def test_forest_looks_at_few_of_clustered_vectors():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 32))[rng.integers(300, size=20_000)] + 0.4 * rng.normal(size=(20_000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    forest, asked = rp_forest.fit(x, rp_forest.plan(len(x)), 5), np.arange(0, 20_000, 100)
+    leaves, hits, looked = forest.leaves(x), 0, 0
+    for q, (last, found) in zip(asked, forest.visited(x[asked])):
+        seen = forest.scores(x[q : q + 1])[0] >= last - 1e-9
+        assert len(found) == forest.budget and all(seen[t, leaf] for t, leaf in found)
+        met = np.any([seen[t, leaves[:, t]] for t in range(leaves.shape[1])], axis=0)
+        cos = x @ x[q]
+        cos[q] = -9
+        hits += met[np.argsort(-cos)[:5]].sum()
+        looked += met.sum()
+    assert hits / (5 * len(asked)) >= 0.9 and looked / len(asked) < 0.05 * len(x)
+
+
+def test_forest_in_blocks(spark, monkeypatch):
+    """Cells, blocks and slices of queries don't change what is found."""
+    x = np.random.default_rng(4).normal(size=(1500, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, rp_forest.nearest(df, "id % 5 = 0").collect()))
+    for name, value in (("BLOCK_ROWS", 100), ("BLOCK_QUERIES", 40), ("AT_ONCE", 7)):
+        monkeypatch.setattr(rp_forest, name, value)
+    assert sorted(map(tuple, rp_forest.nearest(df, "id % 5 = 0").collect())) == want
+
+
 def test_forest_odd_rows(spark):
     df = spark.createDataFrame([(i, v, 1) for i, v in ODD if i != 8] + [(50, [1.0, 1.0], 1)], "vec_id long, embedding array<double>, dim int")
     got = [(r.query_id, r.rank, r.vec_id) for r in rp_forest.nearest(df, "id in (50, 9, 1)").orderBy("query_id", "rank").collect()]
