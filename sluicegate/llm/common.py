@@ -25,8 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of this machine only where none is set (tests)."""
+    """The folder that driver and executors share: the one that the cluster names in spark.checkpoint.dir.
+
+    Where none is named, a folder of this machine serves a local master; a cluster has to name one.
+    """
     if not (found := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         os.makedirs("/tmp/checkpoints", exist_ok=True)
         found = "file://" + tempfile.mkdtemp(dir="/tmp/checkpoints")
         spark.conf.set("spark.checkpoint.dir", found)
@@ -138,19 +143,21 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b); root: the smallest node it reaches.
 
     Large-star and small-star steps (Kiveris et al., 2014) in turn until nothing changes. A step
-    groups with partial aggregation and joins on the node, so that a hub is only a skewed join key.
+    groups with partial aggregation and joins two written tables on the node, so that a hub is only a skewed key of a
+    join, which Spark can split.
     """
     spark = edges.sparkSession
     now = written(_oriented(edges), f"{name}-edges")
     sign = _signature(now)
     while sign[0]:
         both = now.union(now.select(F.col("b"), F.col("a")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = _oriented(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), f"{name}-least")
+        large = written(_oriented(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))), f"{name}-large")
+        down = written(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-down")
         small = large.join(down, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m")), F.struct(F.col("b").alias("a"), F.col("m")))).alias("e"))
         new = written(_oriented(small.select(F.col("e.a"), F.col("e.m").alias("b"))), f"{name}-edges")
-        discard(spark, now)
+        for done in (now, least, large, down):
+            discard(spark, done)
         now, before, sign = new, sign, _signature(new)
         if sign == before:
             break

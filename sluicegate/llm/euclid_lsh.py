@@ -106,8 +106,8 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding
     roots = components(found.where("digest <> root").select(F.col("digest").alias("a"), F.col("root").alias("b")), "lsh")
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
     of = classes.select("digest", "least_id", "n").join(roots.withColumnRenamed("node", "digest"), "digest", "left").join(links, "digest", "left")
-    of = of.withColumn("root", F.coalesce("root", "digest"))
-    ids = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    of = written(of.withColumn("root", F.coalesce("root", "digest")), "lsh-roots")
+    ids = written(of.groupBy("root").agg(F.min("least_id").alias("component_id")), "lsh-ids")
     told = of.join(ids, "root").select("digest", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     out = rows.select("id", "digest").join(told, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))

@@ -45,9 +45,8 @@ def fingerprint(data: bytes | None, k: int = SHINGLE) -> int:
     one = xxhash.xxh64_intdigest
     for words in words_of(data or b""):
         words = carry + words
-        carry = words[-(k - 1) :]
+        carry = words[len(words) - k + 1 :] if len(words) >= k else words
         if len(words) < k:
-            carry = words
             continue
         joined = b" ".join(words)
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -148,8 +147,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mos
     kept = [c for c in docs.columns if c not in (text, "fp", "component_id")]
     rows = written(fingerprints(docs.select(*kept, text), text, k=k).drop(text), "simhash-rows")
     classes = written(rows.groupBy("fp").agg(F.min(id_col).alias("least_id")), "simhash-classes")
-    of = _roots(classes, most).join(classes, "fp")
-    ids = of.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    of = written(_roots(classes, most).join(classes, "fp"), "simhash-roots")
+    ids = written(of.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-ids")
     return rows.join(of.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp", "left").select(*kept, "fp", "component_id")
 
 
@@ -160,12 +159,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", most:
     column are one. Texts are shuffled once, dealt by fingerprint and hash of the row.
     """
     columns = docs.columns
-    rows = written(fingerprints(docs.withColumn("_row", F.xxhash64(*columns)), text, "_fp", k), "simhash-texts")
-    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_row").alias("row"), F.col("_fp").alias("fp"))).alias("first")
+    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)], F.xxhash64(*[f"`{c}`" for c in columns]).alias("_row"))
+    rows = written(fingerprints(own, f"c{columns.index(text)}", "_fp", k), "simhash-texts")
+    first = F.min(F.struct(F.col(f"c{columns.index(id_col)}").isNull().alias("none"), F.col(f"c{columns.index(id_col)}").alias("id"), F.col("_row").alias("row"), F.col("_fp").alias("fp"))).alias("first")
     classes = written(rows.groupBy(F.col("_fp").alias("fp")).agg(first), "simhash-classes")
     of = _roots(classes, most).join(classes, "fp")
     stay = of.groupBy("root").agg(F.min("first").alias("f")).select(F.col("f.fp").alias("_fp"), F.col("f.row").alias("_row"))
-    return rows.join(stay.hint("shuffle_hash"), ["_fp", "_row"]).groupBy("_fp", "_row").agg(*[F.first(c).alias(c) for c in columns]).select(*columns)
+    kept = rows.join(stay.hint("shuffle_hash"), ["_fp", "_row"]).groupBy("_fp", "_row").agg(*[F.first(f"c{i}").alias(f"c{i}") for i in range(len(columns))])
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def _roots(classes: DataFrame, most: int) -> DataFrame:

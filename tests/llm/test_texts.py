@@ -173,6 +173,9 @@ def test_url_precedence_and_odd_rows(spark):
     got = url_filter.filter_urls(df, rules)
     assert {r.url: (r.host, r.rule, r.verdict) for r in got.collect()} == urls
     assert got.count() == len(urls) + 1
+    clash = df.withColumn("best", F.lit(1)).withColumn("c0", F.lit(2)).withColumn("rule", F.lit(3))
+    assert url_filter.filter_urls(clash, rules).columns == ["page_id", "url", "best", "c0", "host", "path", "rule", "verdict"]
+    assert url_filter.filter_urls(clash, rules).where("best = 1 and c0 = 2").count() == len(urls) + 1
     assert url_filter.filter_urls(df.where("false"), rules).count() == 0
     assert {r.verdict for r in url_filter.filter_urls(df, rules.where("false"), default="block").collect()} == {"block"}
     plain = url_filter.BROADCAST_RULES
