@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 BROADCAST_RULES = 100_000
 #: Hex digits of the digest on which the equi-join runs; whole digests are compared after it.
 PREFIX_DIGITS = 8
-#: A rule without a path or with any path: what separates its host from its path.
+#: The letters that a host is lower-cased by.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,7 +52,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         F.sort_array(F.collect_set(F.length("r_path"))).alias("lengths"),
     ).first()
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    rows = pages.select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    rows = pages.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
 
     urls = rows.select("host", "path").where("host <> ''").distinct()
     n_labels = F.size(F.split("host", r"\."))
@@ -64,8 +64,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     fits = said.join(held, "r_short").where("digest = r_digest")
     rank = F.struct(F.length(F.concat("r_host", "r_path")), F.length("r_host"), (F.col("r_verdict") == "block").cast("int"))
     best = fits.groupBy("host", "path").agg(F.max_by(F.struct(F.concat("r_host", "r_path").alias("rule"), F.col("r_verdict").alias("verdict")), rank).alias("best"))
-    return rows.join(best, ["host", "path"], "left").select(
-        *kept, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
+    # rows without a host share one key that no rule fits, so they are left out of the join
+    told = rows.where("host <> ''").join(best, ["host", "path"], "left").unionByName(rows.where("host = ''"), allowMissingColumns=True)
+    return told.select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
     )
 
 
