@@ -92,7 +92,7 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudo_lm.score(docs, *pseudo_lm.fit(docs))
+    return pseudo_lm.score(docs, pseudo_lm.fit(docs))
 
 
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

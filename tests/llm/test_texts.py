@@ -189,41 +189,95 @@ def test_url_precedence_and_odd_rows(spark):
 # pseudo-likelihood
 
 
-def test_trained_network_predicts_better(spark):
+def per_word(spark, fitted, texts):
+    got = pseudo_lm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), fitted).agg(F.sum("log_likelihood"), F.sum("n_words")).first()
+    return got[0] / got[1]
+
+
+def unigram(texts):
+    n = Counter(w for t in texts for w in t.split())
+    return sum(c * np.log(c / n.total()) for c in n.values()) / n.total()
+
+
+def test_network_beats_a_unigram_and_knows_order(spark):
+    rng = np.random.default_rng(6)
+    words, step = [f"w{i}" for i in range(40)], rng.permutation(40)
+    texts = []
+    for _ in range(400):  # three words in four follow from the word before
+        at, own = int(rng.integers(40)), []
+        for _ in range(200):
+            own.append(words[at])
+            at = int(step[at]) if rng.random() < 0.75 else int(rng.integers(40))
+        texts.append(" ".join(own))
+    fitted = pseudo_lm.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    mixed = [" ".join(rng.permutation(t.split())) for t in texts]
+    own = per_word(spark, fitted, texts)
+    assert own > unigram(texts) + 0.3 and own > per_word(spark, fitted, mixed) + 0.5
+
+
+def test_query_scores_beat_a_unigram(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    got = queries.op5_pseudo_likelihood(spark, "/root/testdata/sf0.01").agg(F.sum("log_likelihood"), F.sum("n_words"), F.count("doc_id")).first()
+    assert got[1] == sum(len(t.split()) for t in texts) and got[2] == len(texts)
+    assert got[0] / got[1] > unigram(texts) + 0.02
+
+
+def test_scores_do_not_depend_on_layout(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_lm, "GROUP", 20_000)
+    monkeypatch.setattr(pseudo_lm, "BATCH", 256)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    vocab, network = pseudo_lm.fit(docs)
-    base = pseudo_lm.Network.new(vocab.pad)
-    base.layers[2][:] = 0
-    base.layers[3][:] = np.log(np.maximum(np.bincount(vocab.classes, weights=np.exp(vocab.within), minlength=pseudo_lm.CLASSES), 1e-9)) * 0
-    trained = pseudo_lm.score(docs, vocab, network).agg(F.sum("log_likelihood")).first()[0]
-    assert trained > pseudo_lm.score(docs, vocab, base).agg(F.sum("log_likelihood")).first()[0]
-    order = docs.where("length(text) > 200").withColumn("shuffled", F.array_join(F.shuffle(F.split("text", " "), F.lit(1)), " "))
-    shuffled = pseudo_lm.score(order.select("doc_id", F.col("shuffled").alias("text")), vocab, network).agg(F.avg("per_word")).first()[0]
-    assert np.isfinite(shuffled)
-
-
-def test_scores_against_brute_force(spark):
-    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*ODD_TEXTS, "a b c a b x"])], "doc_id long, text string, n_words string")
-    vocab, net = pseudo_lm.fit(docs)
-    got = {r.doc_id: r for r in pseudo_lm.score(docs, vocab, net).collect()}
-    for i, text in enumerate([*ODD_TEXTS, "a b c a b x"]):
-        ids = vocab.encoded(text or "").tolist() if i != 7 else []
-        if i == 7:
-            continue
-        total = 0.0
-        for at, w in enumerate(ids):
-            around = [ids[at + o] if 0 <= at + o < len(ids) else vocab.pad for o in (-2, -1, 1, 2)]
-            total += float(net.forward(np.array([around]))[2][0, vocab.classes[w]]) + vocab.within[w]
-        assert got[i].n_words == len(ids) and abs(got[i].log_likelihood - total) < 1e-3
-        assert (got[i].per_word is None) == (not ids)
+    got = [{r.doc_id: r.log_likelihood for r in pseudo_lm.score(docs, pseudo_lm.fit(docs.repartition(n, F.rand(n)))).collect()} for n in (1, 9)]
+    assert all(abs(got[0][i] - got[1][i]) <= 1e-6 * abs(got[0][i]) for i in got[0])
+
+
+def hash_of(word):
+    h = sum((b + 1) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(word.encode())) % (1 << 64)
+    for shift, by in ((31, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ h >> shift) * by % (1 << 64)
+    return h ^ h >> 31
+
+
+@pytest.mark.parametrize("known", [4, 65_536])
+def test_scores_against_brute_force(spark, monkeypatch, known):
+    monkeypatch.setattr(pseudo_lm, "KNOWN", known)
+    texts = [*ODD_TEXTS, "a b c a b x", "a b \u00e9t\u00e9 c d e f g h h h"]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id long, text string, n_words string, _text string")
+    fitted = pseudo_lm.fit(docs)
+    got = {r.doc_id: r for r in pseudo_lm.score(docs, fitted).collect()}
+    counts, vocab, net = Counter(w for t in texts for w in (t or "").split()), fitted.vocabulary, fitted.network
+    assert len(vocab.hashes) == min(known, len(counts))
+    place = {w: [int(x[0]) for x in vocab.placed(np.array([hash_of(w)], dtype=np.uint64))] for w in counts}
+    mass = Counter()
+    for w, c in counts.items():
+        mass[place[w][0]] += c
+    first, first_bias, wide, bias, inner, inner_bias = (x.astype(float) for x in net.layers)
+
+    def log_p(words, at):
+        around = [place[words[at + o]][1] if 0 <= at + o < len(words) else len(net.embeddings) - 1 for o in (-2, -1, 1, 2)]
+        h = np.tanh(np.concatenate([net.embeddings[r] for r in around]) @ first + first_bias)
+        cell = place[words[at]][0]
+        c, m = vocab.classes[cell], vocab.members[cell]
+        z, y = np.exp(h @ wide + bias), np.exp(h @ inner[c] + inner_bias[c])
+        return np.log(z[c] / z.sum()) + np.log(y[m] / y.sum()) + np.log(counts[words[at]] / mass[cell])
+
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        assert got[i].n_words == len(words) and got[i]._text == "y" and (got[i].per_word is None) == (not words)
+        if len(words) < 100:
+            assert abs(got[i].log_likelihood - sum(log_p(words, at) for at in range(len(words)))) < 1e-3
     empty = docs.where("false")
-    assert pseudo_lm.score(empty, *pseudo_lm.fit(empty)).count() == 0
+    assert pseudo_lm.score(empty, pseudo_lm.fit(empty)).count() == 0
+    assert np.isfinite(pseudo_lm.score(docs, pseudo_lm.fit(empty)).agg(F.sum("log_likelihood")).first()[0])
 
 
 def test_words_in_pieces(monkeypatch):
-    text = " ab  cde\nf g" * 9
-    monkeypatch.setattr(pseudo_lm, "PIECE", 5)
-    assert [w for part in pseudo_lm.words_of(text) for w in part] == text.split()
+    texts = [" ab  cde\nf g" * 9, None, "", "x", "a" * 50, "q r"]
+    want = [[hash_of(w) for w in (t or "").split()] for t in texts]
+    for piece in (1 << 21, 5):
+        monkeypatch.setattr(pseudo_lm, "PIECE", piece)
+        runs = list(pseudo_lm._runs(pa.array(texts)))
+        assert np.concatenate([h for h, _ in runs]).tolist() == sum(want, [])
+        assert np.concatenate([n for _, n in runs]).tolist() == list(map(len, want))
 
 
 # mixing
