@@ -11,12 +11,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows from which the model is fitted, at most, all languages together.
-SAMPLE_ROWS = 3000
-#: Languages it can learn, at most: the most frequent ones.
-MOST_LANGS = 200
-#: Of each sampled text this many excerpts of so many characters, evenly spaced, are learned from.
-EXCERPTS, EXCERPT_CHARS = 4, 300
+#: Labelled rows from which the model is fitted, at most, all languages together; but each language has LEAST_ROWS if it can.
+SAMPLE_ROWS, LEAST_ROWS = 2000, 8
+#: Languages whose row counts are broadcast; more are joined by a shuffle.
+BROADCAST_LANGS = 10_000
 ORDERS = (2, 3, 4)
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -111,19 +109,30 @@ def subwords(data: np.ndarray, at: int, to: int) -> Iterator[np.ndarray]:
         yield out
 
 
+def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a whole text's subwords, and the share of each."""
+    data, counts = np.frombuffer(text, dtype=np.uint8), np.zeros(BUCKETS + 1, dtype=np.int64)
+    for at in range(0, len(data), PIECE):
+        for ids in subwords(data, at, min(at + PIECE, len(data))):
+            counts += np.bincount(ids, minlength=BUCKETS + 1)
+    ids = np.flatnonzero(counts[:BUCKETS])
+    return ids, (counts[ids] / max(1, counts[:BUCKETS].sum())).astype(np.float32)
+
+
 def fit(texts: list[str], langs: list[str], seed: int = 1) -> Model:
-    """Stochastic gradient descent over the texts; a tenth of them calibrates and is not learned from."""
+    """The model of these texts."""
+    data, ends = _joined(pa.array(texts, type=pa.string()))
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    return fit_bags([bag(data[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist())], langs, seed)
+
+
+def fit_bags(given: list[tuple[np.ndarray, np.ndarray]], langs: list[str], seed: int = 1) -> Model:
+    """Stochastic gradient descent over bags of subwords; a tenth of them calibrates and is not learned from."""
     names = sorted(set(langs))
     if not names:
         return Model([], np.zeros((0, BUCKETS + 1), dtype=np.float32), 1.0, 0.0)
-    data, ends = _joined(pa.array(texts, type=pa.string()))
-    starts, bags, target = np.concatenate([[0], ends[:-1]]), [], []
-    for a, b, lang in zip(starts.tolist(), ends.tolist(), langs):
-        ids = np.concatenate(list(subwords(data[a:b], 0, b - a)))
-        ids, n = np.unique(ids[ids < BUCKETS], return_counts=True)
-        if len(ids):
-            bags.append((ids, (n / n.sum()).astype(np.float32)))
-            target.append(names.index(lang))
+    number = {name: i for i, name in enumerate(names)}
+    bags, target = [b for b in given if len(b[0])], [number[lang] for b, lang in zip(given, langs) if len(b[0])]
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(bags))
     held, learned = order[: len(order) // 10], order[len(order) // 10 :]
@@ -159,19 +168,33 @@ def _calibrated(raw: np.ndarray, right: np.ndarray) -> tuple[float, float]:
     return float(t), min(LEAST_SURE, float(np.quantile(sure, REJECTED_RIGHT))) if len(sure) else 0.0
 
 
-def sample(docs: DataFrame, labelled: Column, id_col: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS) -> tuple[list[str], list[str]]:
-    """Excerpts of at most rows labelled texts, spread evenly over the languages, chosen by hash."""
-    own = docs.where(F.coalesce(labelled, F.lit(False)) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = own.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(MOST_LANGS).collect()
+def sample(docs: DataFrame, labelled: Column, id_col: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = SAMPLE_ROWS) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[str]]:
+    """Bags of the whole texts of labelled rows, spread evenly over all languages, chosen by hash; and their languages.
+
+    There are about rows of them, or LEAST_ROWS for each language if that is more. Texts stay on the executors; a
+    bag has an entry for each bucket at most. Repeated rows count once.
+    """
+    chance = F.pmod(F.xxhash64(F.lit(11), F.col(id_col), F.length(text)), F.lit(1 << 30)) / float(1 << 30)
+    own = docs.where(F.coalesce(labelled, F.lit(False)) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("l"), F.col(text).alias("t"), chance.alias("u"))
+    counts = {r.l: r.n for r in own.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return [], []
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r[0], min(1.0, 1.2 * rows / len(counts) / r.n))])
-    chance = F.pmod(F.xxhash64(F.lit(11), F.col(id_col), F.length(text)), F.lit(1 << 30)) / float(1 << 30)
-    wide = F.greatest(F.length(text) - EXCERPT_CHARS, F.lit(0))
-    parts = F.concat_ws(" ", *[F.substring(F.col(text), (F.floor(wide * i / max(1, EXCERPTS - 1)) + 1).cast("int"), F.lit(EXCERPT_CHARS)) for i in range(EXCERPTS)])
-    got = own.withColumn("_u", chance).where(F.col("_u") < share[F.col(lang)]).select("_u", parts.alias("t"), F.col(lang).alias("l"), F.col(id_col).alias("i"))
-    got = got.orderBy("_u", "i", "t").limit(rows).collect()
-    return [r.t for r in got], [r.l for r in got]
+    each = max(rows / len(counts), LEAST_ROWS)
+    shares = docs.sparkSession.createDataFrame([(k, each / n) for k, n in counts.items()], "l string, share double")
+    some = own.join(F.broadcast(shares) if len(counts) <= BROADCAST_LANGS else shares, "l").where("u < share").dropDuplicates(["l", "u"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, ends = _joined(batch.column("t"))
+            made = [bag(data[a:b].tobytes()) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("l"), batch.column("u"), pa.array([x.astype("<u2").tobytes() for x, _ in made], type=pa.binary()), pa.array([w.tobytes() for _, w in made], type=pa.binary())],
+                names=["l", "u", "ids", "weights"],
+            )
+
+    got = some.select("l", "u", "t").mapInArrow(run, "l string, u double, ids binary, weights binary").collect()
+    got.sort(key=lambda r: (r.u, r.l))
+    return [(np.frombuffer(r.ids, dtype="<u2").astype(np.int64), np.frombuffer(r.weights, dtype=np.float32)) for r in got], [r.l for r in got]
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -195,4 +218,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def fit_on(docs: DataFrame, labelled: Column, **columns: str) -> Model:
-    return fit(*sample(docs, labelled, **columns))
+    return fit_bags(*sample(docs, labelled, **columns))
