@@ -17,18 +17,26 @@ MAX_REPEATS = 1.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with enough confidence; the model is fitted on a bounded sample of them."""
+    """Documents whose language is told with enough confidence; the model is fitted on a bounded sample of them.
+
+    Documents whose text is null or has no letter have no language and go. Without any labelled document nothing can
+    be told, so all documents stay.
+    """
     ship(spark)
     model = language_id.fit_on(docs, F.lit(True))
+    if not model.langs:
+        return docs
     return language_id.identify(docs, model).where("not rejected").select(*docs.columns)
 
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that recur; n_chars follows the text."""
     found = line_dedup.drop_recurring(docs, copies_from=COPY)
     return found.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies; documents without words are one group."""
     ship(spark)
     return simhash.keep_one(docs)
 
@@ -39,6 +47,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each document, with its place in a sequence; a document that comes several times has its pieces several times."""
     ship(spark)
     pieces = packing.token_pieces(docs.select("doc_id", "text"))
     digests = written(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
