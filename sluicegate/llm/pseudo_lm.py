@@ -164,10 +164,10 @@ class Network:
     def predict(self, around: np.ndarray, classes: np.ndarray, members: np.ndarray) -> np.ndarray:
         """The log-probability of each word's cell, given the words around it: that of its class and that of its place there."""
         _, h = self.hidden(around)
-        out, (order, cuts) = _log_of(h @ self.layers[2] + self.layers[3], classes), _by_class(classes)
+        out, (order, cuts) = _log_of(_exponents(h, self.layers[2], self.layers[3]), classes), _by_class(classes)
         h, members, inner = h[order], members[order], np.empty(len(h), dtype=np.float32)
         for c, a, b in cuts:
-            inner[a:b] = _log_of(h[a:b] @ self.layers[4][c] + self.layers[5][c], members[a:b])
+            inner[a:b] = _log_of(_exponents(h[a:b], self.layers[4][c], self.layers[5][c]), members[a:b])
         out[order] += inner
         return out
 
@@ -176,24 +176,24 @@ class Network:
         x, h = self.hidden(around)
         first, first_bias, wide, bias, inner, inner_bias = self.layers
         scale, (order, cuts) = np.float32(rate / len(h)), _by_class(classes)
-        d = _loss_slope(h @ wide + bias, classes, scale)
+        d = _loss_slope(_exponents(h, wide, bias), classes, scale)
         dh = d @ wide.T
         wide -= h.T @ d
-        bias -= d.sum(axis=0)
+        bias -= np.ones(len(d), dtype=np.float32) @ d
         sorted_h, sorted_members, sorted_dh = h[order], members[order], np.empty_like(h)
         for c, a, b in cuts:
-            d = _loss_slope(sorted_h[a:b] @ inner[c] + inner_bias[c], sorted_members[a:b], scale)
+            d = _loss_slope(_exponents(sorted_h[a:b], inner[c], inner_bias[c]), sorted_members[a:b], scale)
             sorted_dh[a:b] = d @ inner[c].T
             inner[c] -= sorted_h[a:b].T @ d
-            inner_bias[c] -= d.sum(axis=0)
+            inner_bias[c] -= np.ones(b - a, dtype=np.float32) @ d
         dh[order] += sorted_dh
         dh *= 1 - h * h
         dx = (dh @ first.T).reshape(-1, DIM)
         first -= x.T @ dh
         first_bias -= dh.sum(axis=0)
-        kinds, at = np.unique(around.ravel(), return_inverse=True)
+        rows = around.ravel()
         for k in range(DIM):  # an embedding stands in few windows of a batch, so its steps are longer
-            self.embeddings[kinds, k] -= np.float32(20) * np.bincount(at, weights=dx[:, k], minlength=len(kinds)).astype(np.float32)
+            self.embeddings[:, k] -= np.float32(20) * np.bincount(rows, weights=dx[:, k], minlength=_ROWS + 1).astype(np.float32)
         self.embeddings[_ROWS] = 0
 
 
@@ -204,16 +204,32 @@ def _by_class(classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int
     return order, [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
 
 
+def _exponents(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """h @ w + b less a number that keeps their exponentials finite, and the largest of each row above zero.
+
+    As h lies between -1 and 1, bounds of all rows come from w and b, which spares a search in each row.
+    """
+    reach = np.abs(w).sum(axis=0)
+    top = (b + reach).max()
+    z = h @ w
+    if top - (b - reach).max() < 80:
+        z += b - top
+    else:
+        z += b
+        z -= z.max(axis=1, keepdims=True)
+    return z
+
+
 def _log_of(z: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The log-probability of the right one in each row."""
-    z -= z.max(axis=1, keepdims=True)
-    return z[np.arange(len(z)), right] - np.log(np.exp(z).sum(axis=1))
+    """The log-probability of the right one in each row of exponents."""
+    own = z[np.arange(len(z)), right]
+    np.exp(z, out=z)
+    return own - np.log(z @ np.ones(z.shape[1], dtype=np.float32))
 
 
 def _loss_slope(z: np.ndarray, right: np.ndarray, scale: np.float32) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    z *= scale / z.sum(axis=1, keepdims=True)
+    z *= (scale / (z @ np.ones(z.shape[1], dtype=np.float32)))[:, None]
     z[np.arange(len(z)), right] -= scale
     return z
 

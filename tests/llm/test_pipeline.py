@@ -44,3 +44,33 @@ def test_only_copies_of_one_document_keep_recurring_lines(spark):
     got = {r.doc_id: r for r in p.without_recurring_lines(spark, docs, SMALL).collect()}
     assert {i: r.text for i, r in got.items()} == want
     assert {i: r.n_chars for i, r in got.items()} == {i: len(t) for i, t in want.items()}
+
+
+def odd_documents(spark, labelled=True):
+    words = lambda name, n: " ".join(f"{name}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n))
+    texts = {1: words("b", 50), 2: words("c", 40), 3: None, 4: "", 5: " \n", 6: "1 2 3", 7: words("d", 30) + "\n" + "x" * 50_000}
+    rows = [(i, t, "en" if labelled and i % 2 else None, None if i == 2 else "s", None, f"r{i}", i) for i, t in texts.items()]
+    rows += [rows[0], rows[0], (None, words("f", 60), None, "s", 5, "none", None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, recurring string, _row long")
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    columns = docs.columns
+    for name, stage in p.STAGES[:-1]:
+        docs = p.written(stage(spark, docs, SMALL), f"t-{name}")
+        assert docs.columns == columns
+        if name == "language_id":
+            assert sorted((r.doc_id or 0) for r in docs.collect()) == [0, 1, 1, 1, 2, 7]
+    assert {r.doc_id or 0 for r in docs.collect()} == {0, 1, 2, 7}
+    pieces = p.STAGES[-1][1](spark, docs, SMALL).collect()
+    assert {r.doc_id or 0 for r in pieces} == {0, 1, 2, 7} and all(1 <= r.length <= 1024 - r.offset for r in pieces)
+
+
+def test_unlabelled_and_empty_tables(spark):
+    docs = odd_documents(spark, labelled=False)
+    assert p.known_language(spark, docs, SMALL).count() == docs.count()
+    docs = docs.where("false")
+    for name, stage in p.STAGES:
+        docs = p.written(stage(spark, docs, SMALL), f"t-{name}")
+        assert docs.count() == 0
