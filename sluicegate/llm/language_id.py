@@ -213,6 +213,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             made = model.predict(batch.column(own))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made], names=[*kept, "lang_pred", "score", "rejected"])
+            pa.default_memory_pool().release_unused()  # the worker lives on
 
     return docs.select(*kept, *([] if own == text else [F.col(text).alias(own)])).mapInArrow(run, schema)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,9 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces of one length that are ranked together in one task, about.
 RANKED = 512
-#: Bytes of text whose distinct chunks are encoded together, chunks that the tokenizer gets at a time, pieces handed on at a time.
-GROUP, AT_ONCE, HANDED = 1 << 24, 2000, 1 << 14
+#: Bytes of text whose distinct chunks are encoded together, bytes that are searched for cuts at a time, chunks that the tokenizer gets
+#: at a time, pieces handed on at a time.
+GROUP, LOOKED_AT, AT_ONCE, HANDED = 1 << 23, 1 << 20, 16_000, 1 << 14
 _LETTER, _BLANK, _MARK, _WIDE, _ODD = range(5)
 _KIND = np.array([_WIDE if c >= 128 else _ODD if 28 <= c < 32 else _LETTER if chr(c).isalpha() else _BLANK if chr(c).isspace() else _MARK for c in range(256)], dtype=np.uint8)
 
@@ -35,6 +37,15 @@ def cuts(data: np.ndarray) -> np.ndarray:
     else, between a letter and a mark, and after a line end that stands alone. Characters beyond ASCII count only
     where a byte or two tell their kind.
     """
+    out = np.empty(len(data), dtype=bool)
+    for at in range(0, len(data), LOOKED_AT):  # three bytes before a place tell
+        low = max(0, at - 3)
+        out[at : at + LOOKED_AT] = _cuts(data[low : at + LOOKED_AT])[at - low :]
+    out[:1] = True
+    return out
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
     kind = np.concatenate([np.full(3, _BLANK, dtype=np.uint8), _KIND[data]])
     byte = np.concatenate([np.full(3, 32, dtype=np.uint8), data])
     here, k1, k2 = kind[3:], kind[2:-1], kind[1:-2]
@@ -46,7 +57,6 @@ def cuts(data: np.ndarray) -> np.ndarray:
     out |= (here == _MARK) & ((k1 == _LETTER) | ((b2 == 0xC3) & (b1 != 0x97) & (b1 != 0xB7)))
     alone = (b1 == 10) & ((k2 == _LETTER) | (k2 == _MARK) | (b3 == 0xC3))
     out |= alone & ((here == _LETTER) | (here == _MARK) | ((here == _WIDE) & (b0 == 0xC3)))
-    out[:1] = True
     return out
 
 
@@ -97,12 +107,9 @@ class Coder:
         while True:
             to = min(at + size, len(data))
             cut = cuts(data[at:to]) if self.cuttable else np.zeros(to - at, dtype=bool)
-            raw = data[at:to].tobytes() if self.added else b""
             for token in self.added:
-                found = raw.find(token)
-                while found >= 0:  # none inside a token's string
-                    cut[found + 1 : found + len(token)] = False
-                    found = raw.find(token, found + 1)
+                for found in re.finditer(re.escape(token), data[at:to]):  # none inside a token's string
+                    cut[found.start() + 1 : found.start() + len(token)] = False
             cut[ends[np.searchsorted(ends, at) : np.searchsorted(ends, to)] - at] = True
             cut[0] = True
             starts = np.flatnonzero(cut) + at
@@ -121,15 +128,18 @@ class Coder:
             found = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(chunks.dictionary.to_pylist(), add_special_tokens=False)]
             sizes = np.array([len(x) for x in found], dtype=np.int64)
         else:
-            distinct, found = chunks.dictionary.to_pylist(), []
-            for at in range(0, len(distinct), 32 * AT_ONCE):
-                own = [distinct[i : i + AT_ONCE] for i in range(at, min(at + 32 * AT_ONCE, len(distinct)), AT_ONCE)]
+            found = []
+            for at in range(0, len(chunks.dictionary), AT_ONCE):
+                distinct = chunks.dictionary.slice(at, AT_ONCE).to_pylist()
+                own = [distinct[i : i + 2000] for i in range(0, len(distinct), 2000)]
                 found += [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(own, is_pretokenized=True, add_special_tokens=False)]
             ends = np.cumsum(np.concatenate([self.bytes[x] for x in found]))
             sizes = np.diff(np.searchsorted(ends, np.cumsum(pc.binary_length(chunks.dictionary).to_numpy())) + 1, prepend=0)
         first, of = np.cumsum(sizes) - sizes, chunks.indices.to_numpy()
         n = np.append(0, np.cumsum(sizes[of]))
-        places = np.arange(n[-1]) + np.repeat(first[of] - n[:-1], sizes[of])
+        kind = np.int32 if n[-1] < 1 << 31 else np.int64
+        places = np.repeat((first[of] - n[:-1]).astype(kind), sizes[of])
+        places += np.arange(len(places), dtype=kind)
         return np.concatenate(found)[places], n
 
 
@@ -160,6 +170,7 @@ def token_pieces(
                 ids, before = coder.encoded(texts.slice(at, to - at))
                 data = np.insert(ids, before[1:], end_id).astype("<u4", copy=False)
                 yield from _cut(batch.slice(at, to - at), len(kept), data, before + np.arange(len(before)), capacity)
+                pa.default_memory_pool().release_unused()  # the worker lives on
                 at = to
 
     return docs.select(*kept, F.col(text)).mapInArrow(run, schema)

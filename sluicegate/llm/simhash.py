@@ -75,6 +75,7 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fp", k: int =
             texts = batch.column(own)
             made = pa.array([fingerprint(x.as_py(), k) for x in texts.cast(pa.binary())], type=pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), made], names=[*names, out])
+            pa.default_memory_pool().release_unused()  # the worker lives on
 
     return docs.select(*names, *([] if own == text else [F.col(text).alias(own)])).mapInArrow(run, schema)
 
