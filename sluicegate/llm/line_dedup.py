@@ -148,7 +148,7 @@ def recurring_lines(
     else:
         found = own.join(held, ["leaf", "template"], "left").withColumn("later", F.col("first").isNotNull() & ~same)
         found = written(found.dropDuplicates(["doc", "no"]), "line-firsts")
-        words = light.dropDuplicates(["doc", "no"]).groupBy("doc").agg(F.sum("n").alias("words"))
+        words = written(light.dropDuplicates(["doc", "no"]).groupBy("doc").agg(F.sum("n").alias("words")), "line-words")
         later = found.where("later").join(_copies(found, words, copies_from), "doc", "left").where(~F.coalesce(F.col("source") == F.col("first"), F.lit(False)))
     return later.groupBy("doc", "id").agg(F.collect_set("no").alias("recurring"))
 
