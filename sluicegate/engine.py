@@ -23,8 +23,12 @@ class Result:
     acks: DataFrame
 
 
-def process(captures: DataFrame, settings: Settings = Settings()) -> Result:
-    """captures: capture_id, conn_id, data and, as far as known, remote_address, remote_port, received_ts, tls_subject, tls_issuer.
+def process(captures: DataFrame, settings: Settings = Settings(), metrics: dict[str, object] | None = None) -> Result:
+    """captures: capture_id, conn_id, data and, as far as known, listener, remote_address, remote_port, received_ts, tls_subject, tls_issuer.
+
+    Each listener batches what it received itself, so keys that all events share are one task for each listener only. Of
+    several captures of a connection the first by capture_id tells its sender. Payloads stay as they came, UTF-8 or
+    not; with rules those that aren't are errors, which the policy decides on. metrics: values of attributes, as Listener.metrics() gives.
 
     Windows and their ends are told before rules drop events, so a window whose last event is dropped ends no
     batch. Events up to the first break of a connection count; dropped ones are acknowledged like committed
@@ -33,10 +37,11 @@ def process(captures: DataFrame, settings: Settings = Settings()) -> Result:
     ship(captures.sparkSession)
     frames = framing.decode(captures, settings.frame_limits)
     told = ledger.assign_windows(frames, settings["maximum-events-per-window"])
-    given = {c: captures[c] if c in captures.columns else F.lit(None).cast(k) for c, k in (("remote_address", "string"), ("remote_port", "int"), ("tls_subject", "string"), ("tls_issuer", "string"), ("received_ts", "timestamp"))}
-    senders = captures.select("conn_id", *[x.alias(c) for c, x in given.items()]).dropDuplicates(["conn_id"])
+    given = {c: captures[c] if c in captures.columns else F.lit(None).cast(k) for c, k in (("listener", "string"), ("remote_address", "string"), ("remote_port", "int"), ("tls_subject", "string"), ("tls_issuer", "string"), ("received_ts", "timestamp"))}
+    first = F.min(F.struct("capture_id", *[x.alias(c) for c, x in given.items()])).alias("first")
+    senders = captures.groupBy("conn_id").agg(first).select("conn_id", *[f"first.{c}" for c in given])
     events = told.where("type = 'J'").join(senders, "conn_id", "left").select(
-        "conn_id", "sequence", "window_id", "offset", "window_complete", "frame_no", F.struct("frame_no", "conn_id").alias("arrival"), *given, F.expr("decode(payload, 'UTF-8')").alias("raw")
+        "conn_id", "sequence", "window_id", "offset", "window_complete", "frame_no", F.struct("frame_no", "conn_id").alias("arrival"), *given, F.col("payload").cast("string").alias("raw")
     )
     strategy = settings["batching-strategy"]
     pointers = keys.needed_pointers(strategy, settings.pointers)
@@ -46,8 +51,8 @@ def process(captures: DataFrame, settings: Settings = Settings()) -> Result:
         decisions.where("not drop"), strategy, settings.pointers, settings["missing-key-policy"], settings["default-batch-bucket"], settings["hash-batch-keys"], settings["maximum-batch-key-length"],
         values="batch_values" if settings.active_rules and pointers else None,
     )
-    batches = batching.collect_batches(batching.assign_batches(kept.drop("batch_values", "valid"), settings.batch_limits))
-    batches = reporting.attributes(batches, strategy, settings["listening-port"], settings["metrics-attribute-detail"])
+    batches = batching.collect_batches(batching.assign_batches(kept.drop("batch_values", "valid"), settings.batch_limits, shard="listener"), shard="listener")
+    batches = reporting.attributes(batches, strategy, settings["listening-port"], settings["metrics-attribute-detail"], metrics)
     done = kept.select("conn_id", "window_id", "offset").withColumn("_kept", F.lit(True))
     state = decisions.join(done, ["conn_id", "window_id", "offset"], "left").withColumn("committed", F.col("drop") | F.coalesce("_kept", F.lit(False)))
     opened = told.where("type = 'W'").select("conn_id", "window_id", F.col("window_size").alias("advertised"))

@@ -12,8 +12,8 @@ from collections.abc import Callable
 from decimal import Decimal
 from itertools import count
 
-#: Levels of nested arrays whose elements count in functions that look at any element.
-LEVELS = 4
+#: Levels of nested arrays whose elements count in functions that look at any element: as many as an event may have.
+LEVELS = 32
 #: What converts to a number: no spaces, no letters but an exponent.
 NUMERIC = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _PLAIN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
@@ -114,11 +114,14 @@ def elements_of(v: str) -> str:
 
 def leaves_of(v: str) -> str:
     """Elements of an array, those of arrays within it instead of these, to LEVELS levels."""
-    out = elements_of(v)
-    for _ in range(LEVELS - 1):
-        e = f"x{next(_names)}"
-        out = f"flatten(transform({out}, {e} -> coalesce({elements_of(e)}, array({e}))))"
-    return out
+
+    def opened(own: str) -> str:
+        a, e, i, x = (f"x{next(_names)}" for _ in range(4))
+        nested = f"exists({a}, {x} -> substring(schema_of_variant({x}), 1, 2) = 'AR')"
+        deeper = f"flatten(transform({a}, {e} -> coalesce({elements_of(e)}, array({e}))))"
+        return f"aggregate(sequence(2, {LEVELS}), {own}, ({a}, {i}) -> CASE WHEN {nested} THEN {deeper} ELSE {a} END)"
+
+    return let(elements_of(v), opened)
 
 
 def structs(array: str) -> str:

@@ -155,19 +155,20 @@ def count_batches(events: DataFrame, max_events: int, key: str = "batch_key", or
     return events.selectExpr("*", f"cast((row_number() over (partition by `{key}` order by `{order}`) - 1) div {max_events} as long) as batch_no")
 
 
-def collect_batches(assigned: DataFrame, key: str = "batch_key", order: str = "arrival") -> DataFrame:
-    """One row per batch: flush_reason, counts, bytes, ndjson, runs, what its events have in common.
+def collect_batches(assigned: DataFrame, key: str = "batch_key", order: str = "arrival", shard: str | None = None) -> DataFrame:
+    """One row per batch (of a shard): flush_reason, counts, bytes, ndjson, runs, what its events have in common.
 
     ndjson is every raw text as it came, each followed by a line end. runs are stretches of consecutive sequences
     (modulo 2^32) of a connection's window in the order of arrival: first and count.
     A batch is bounded by its limits, so its texts meet in one task.
     """
-    wide = f"partition by `{key}`, batch_no order by `{order}`"
+    keys = [*([shard] if shard else []), key, "batch_no"]
+    wide = f"partition by {', '.join(f'`{k}`' for k in keys)} order by `{order}`"
     rows = assigned.selectExpr("*", f"lag(struct(conn_id, window_id, sequence)) over ({wide}) as _prev")
     follows = "_prev is not null and _prev.conn_id <=> conn_id and _prev.window_id <=> window_id and sequence = ((_prev.sequence + 1) & 4294967295)"
     rows = rows.selectExpr("*", f"sum(case when {follows} then 0 else 1 end) over ({wide}) as _run")
     place = F.struct(F.col(order).alias("o"), "raw")
-    per_run = rows.groupBy(key, "batch_no", "_run").agg(
+    per_run = rows.groupBy(*keys, "_run").agg(
         F.min(order).alias("_first"),
         F.max(order).alias("_last"),
         F.first("flush_reason").alias("flush_reason"),
@@ -188,7 +189,7 @@ def collect_batches(assigned: DataFrame, key: str = "batch_key", order: str = "a
     one_window = one_conn & (F.min("window_id") == F.max("window_id"))
     texts = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_first", "texts"))), lambda x: x["texts"]))
     run = F.struct("_first", F.struct("conn_id", "window_id", "first_seq", F.col("n").alias("count")).alias("run"))
-    return per_run.groupBy(key, "batch_no").agg(
+    return per_run.groupBy(*keys).agg(
         F.first("flush_reason").alias("flush_reason"),
         F.sum("n").cast("int").alias("event_count"),
         F.sum("payload").alias("payload_bytes"),

@@ -46,11 +46,12 @@ def _with_doc(events: DataFrame, raw: str) -> DataFrame:
     """events with _doc, the event as a VARIANT; null unless the text is exactly one JSON object.
 
     parse_json ignores what follows a value. Text that is whole within brackets and within an object
-    can't be closed early in both, so two parses tell.
+    can't be closed early in both, so two parses tell. Bytes that aren't UTF-8 are no JSON.
     """
     here = F.monotonically_increasing_id() >= 0
-    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$", "array<variant>")
-    held = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
+    text = F.try_validate_utf8(raw)
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    held = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
     df = events.select("*", F.when(here & held.isNotNull(), listed).alias("_items"))
     one = F.col("_items")[0]
     return df.select(*events.columns, F.when(here & (F.size("_items") == 1) & F.schema_of_variant(one).startswith("OBJECT"), one).alias("_doc"))
@@ -85,8 +86,8 @@ def _values(df: DataFrame, paths: tuple[Path, ...], used: str) -> DataFrame:
     return df.select("*", *made)
 
 
-def over_budget(variant: str) -> str:
-    """Whether a container is deeper, longer or has more parts than may be read; strings don't count as structure."""
+def budget_of(variant: str) -> str:
+    """What reading a container costs: whether it is too deep, its parts, its characters; strings don't count as structure. Nothing for others."""
     text = f"cast({variant} AS STRING)"
 
     def parts(x: str) -> str:
@@ -95,12 +96,13 @@ def over_budget(variant: str) -> str:
         def measured(y: str) -> str:
             marks = f"regexp_replace({y}, '[^\\\\[\\\\]{{}}]', '')"
             depth = f"aggregate(split({marks}, ''), named_struct('d', 0, 'm', 0), (a, c) -> named_struct('d', CASE WHEN c IN ('[', '{{') THEN a.d + 1 WHEN c IN (']', '}}') THEN a.d - 1 ELSE a.d END, 'm', greatest(a.m, CASE WHEN c IN ('[', '{{') THEN a.d + 1 ELSE a.d END)), a -> a.m)"
-            nodes = f"length({y}) - length(replace(replace({y}, ',', ''), ':', '')) >= {MAX_NODES}"
-            return f"length({marks}) > {2 * MAX_DEPTH} AND {depth} > {MAX_DEPTH} OR {nodes}"
+            nodes = f"length({y}) - length(replace(replace({y}, ',', ''), ':', '')) + 1"
+            return f"named_struct('deep', length({marks}) > {2 * MAX_DEPTH} AND {depth} > {MAX_DEPTH}, 'nodes', {nodes}, 'chars', length({x}))"
 
-        return f"length({x}) > {MAX_CHARS} OR ({v.let(bare, measured)})"
+        return v.let(bare, measured)
 
-    return f"CASE WHEN substring(schema_of_variant({variant}), 1, 2) IN ('AR', 'OB') THEN coalesce({v.let(text, parts)}, false) ELSE false END"
+    none = "named_struct('deep', false, 'nodes', 0, 'chars', 0)"
+    return f"coalesce(CASE WHEN substring(schema_of_variant({variant}), 1, 2) IN ('AR', 'OB') THEN {v.let(text, parts)} END, {none})"
 
 
 def apply_filter(
@@ -138,8 +140,10 @@ def apply_filter(
     if compiler.patterns:
         find = F.pandas_udf(_found, "boolean").asNondeterministic()
         df = df.select("*", *[find(F.expr(s), F.expr(p)).alias(f"d{i}") for i, (s, p) in enumerate(compiler.patterns)])
-    budget = " OR ".join([f"({over_budget(f'_v{i}')})" for i in range(len(paths))]) or "false"
-    error = f"(_doc IS NULL OR {budget})"
+    df = df.select("*", *[F.expr(v.once(budget_of(f"_v{i}"))).alias(f"_b{i}") for i in range(len(paths))])
+    deep = " OR ".join([f"_b{i}.deep" for i in range(len(paths))]) or "false"
+    sums = {part: " + ".join(["0L", *[f"_b{i}.{part}" for i in range(len(paths))]]) for part in ("nodes", "chars")}  # one budget for all paths of an event
+    error = f"(_doc IS NULL OR {deep} OR {sums['nodes']} > {MAX_NODES} OR {sums['chars']} > {MAX_CHARS})"
     name = "CASE " + " ".join(f"WHEN {t} THEN {v.quoted(n)}" for n, t in tests) + " END"
     told = v.once(f"CASE WHEN {error} THEN {v.quoted(EVALUATION_ERROR)} ELSE {name} END")
     values = F.array(*[F.col(f"p{paths.index(p)}_s") for p in wanted]) if wanted else none

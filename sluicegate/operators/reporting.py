@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable, Mapping
+from time import monotonic
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+
+from sluicegate.plans.analysis import compile_rules
 
 #: Samples that a latency summary looks back on.
 SAMPLES = 2048
@@ -66,6 +73,49 @@ def filter_metrics(decisions: DataFrame, raw: str = "raw") -> DataFrame:
     )
 
 
+def filter_averages(decisions: DataFrame, rules: Mapping[str, str], batch_paths: int = 0) -> DataFrame:
+    """One row of means over the events that rules were tried on, by the names of the output attributes with _ for a dot.
+
+    decisions: of apply_filter over events with the candidates of filter.candidates. An event's candidates are the indexed rules
+    that its values point to and all rules without an index; it was tried on those up to the one that dropped it. It is
+    read in one pass, which takes a value for each path of the rules and of the batch key.
+    """
+    found = compile_rules(rules)
+    place = F.coalesce(F.create_map(*[F.lit(x) for i, r in enumerate(found.rules) for x in (r.name, i)])[F.col("rule_name")], F.lit(len(found.rules))) if found.rules else F.lit(0)
+    without = F.array(*[F.lit(i) for i, r in enumerate(found.rules) if not r.indexed]).cast("array<int>")
+    tried = F.array_distinct(F.concat("candidates", without))
+    read = decisions.where("valid").select(F.size(tried).alias("candidates"), F.size(F.filter(tried, lambda i: i <= place)).alias("evaluated"))
+    return read.agg(
+        F.avg("candidates").alias("filter_candidate_rules_avg"),
+        F.avg("evaluated").alias("filter_rules_evaluated_avg"),
+        F.avg(F.lit(1.0)).alias("filter_json_passes_avg"),
+        F.avg(F.lit(float(len(found.paths) + batch_paths))).alias("filter_values_extracted_avg"),
+    )
+
+
+def log_line(metrics: Mapping[str, object]) -> str:
+    """One line of all metrics, by name."""
+    return "listener metrics: " + ", ".join(f"{k}={v}" for k, v in sorted(metrics.items()))
+
+
+class MetricsLog(StreamingQueryListener):
+    """Logs a line of metrics after a micro-batch, every interval seconds at most: spark.streams.addListener(MetricsLog(source.metrics))."""
+
+    def __init__(self, metrics: Callable[[], Mapping[str, object]] = dict, interval: float = 30.0, log: Callable[[str], None] = logging.getLogger("sluicegate").info) -> None:
+        self.metrics, self.interval, self.log, self.last = metrics, interval, log, float("-inf")
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        if monotonic() - self.last >= self.interval:
+            self.last, p = monotonic(), event.progress
+            self.log(log_line({"batch": p.batchId, "rows": p.numInputRows, "rows.per.second": round(p.processedRowsPerSecond or 0.0, 1), **self.metrics()}))
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
 def batch_metrics(batches: DataFrame) -> DataFrame:
     """(flush_reason, batches, events, payload_bytes)."""
     return batches.groupBy("flush_reason").agg(F.count(F.lit(1)).alias("batches"), F.sum(F.col("event_count").cast("long")).alias("events"), F.sum("payload_bytes").alias("payload_bytes"))

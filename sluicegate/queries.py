@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicegate.operators import admission, batching, filter, keys, ledger, reporting
+from sluicegate.operators import admission, batching, claims, filter, keys, ledger, reporting
 from sluicegate.shipping import ship
 from sluicegate.sources import framing
 
@@ -20,6 +20,9 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 IP = "concat('10.', cast(user_id % 256 as string), '.', cast(event_id % 256 as string), '.', cast(k as string))"
+#: By k modulo 3 an IPv6 address, no address, an IPv4 address; a network that holds the event's address where k is even or its third octet is 0.
+ANY_IP = "case k % 3 when 0 then concat('2001:db8::', lower(hex(user_id % 3)), ':', lower(hex(event_id % 256))) when 1 then concat('x', ip) else ip end"
+NET = "case when k % 2 = 0 then '10.0.0.0/8' else concat('10.', user_id % 256, '.0.0/24') end"
 #: The same table for SQL: columns as the rules see them.
 E_SQL = """e AS (
   SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INT) AS k,
@@ -39,8 +42,10 @@ def events(spark: SparkSession, sf_dir: str, ledger_columns: bool = False) -> Da
     doc = F.struct(
         F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type")).alias("event"),
         F.struct(F.col("user_id").alias("id"), F.upper("event_type").alias("group")).alias("user"),
-        F.struct(F.col("k").alias("k"), F.col("k").cast("string").alias("text"), (F.col("k") % 2 == 0).alias("even")).alias("metric"),
-        F.struct(F.col("ip").alias("ip")).alias("source"),
+        F.struct(F.col("k").alias("k"), F.col("k").cast("string").alias("text"), (F.col("k") % 2 == 0).alias("even"), F.when(F.col("k") % 2 == 1, F.col("k")).alias("odd")).alias("metric"),
+        F.struct(F.col("ip").alias("ip"), F.expr(ANY_IP).alias("any"), F.expr(NET).alias("net")).alias("source"),
+        F.when(F.col("k") % 4 == 0, F.struct(F.col("event_type").alias("type"))).alias("agent"),
+        F.expr("array(array(array(array(array(array(k))))), array(array(array(array(array(-1))))))").alias("deep"),
         F.array(F.col("event_type"), F.col("k").cast("string")).alias("tags"),
     )
     df = df.withColumn("raw", F.to_json(doc))
@@ -69,7 +74,7 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 RULES = {
     "flt_eq_number": ("metric.k == 42", "k = 42"),
     "flt_eq_string_number": ('metric.text == 42 || metric.k == "7"', "k IN (42, 7)"),
-    "flt_ne_missing": ("metric.none != 1", "true"),
+    "flt_ne_missing": ("metric.odd != 7", "k <> 7"),
     "flt_cmp_numeric_string": ('metric.text >= "9"', "k >= 9"),
     "flt_cmp_string": ('event.type < "m"', "event_type < 'm'"),
     "flt_bool_precedence": ("metric.k < 10 || metric.k > 50 && !metric.even == false", "k < 10 OR (k > 50 AND k % 2 = 0)"),
@@ -89,17 +94,23 @@ RULES = {
     "fn_starts_with_any_ignore_case": ('startsWithAnyIgnoreCase(user.group, ["vi", "pu"])', "starts_with(event_type, 'vi') OR starts_with(event_type, 'pu')"),
     "fn_ends_with_ignore_case": ('endsWithIgnoreCase(user.group, "ck")', "ends_with(event_type, 'ck')"),
     "fn_ends_with_any_ignore_case": ('endsWithAnyIgnoreCase(user.group, ["ew", "ck"])', "ends_with(event_type, 'ew') OR ends_with(event_type, 'ck')"),
-    "fn_equals_ignore_case": ("equalsIgnoreCase(user.group, event.type)", "true"),
+    "fn_equals_ignore_case": ('equalsIgnoreCase(user.group, ["click", "View"])', "event_type IN ('click', 'view')"),
     "fn_matches_regex": ('matchesRegex(event.type, "^c.*k$|ie")', "regexp_matches(event_type, '^c.*k$|ie')"),
-    "fn_matches_regex_dynamic": ("matchesRegex(user.group, user.group)", "true"),
-    "fn_exists": ("exists(metric.k) && !exists(metric.none)", "true"),
+    "fn_matches_regex_dynamic": ("matchesRegex(event.id, metric.text)", "contains(event_id::VARCHAR, k::VARCHAR)"),
+    "fn_exists": ("exists(metric.odd) && !exists(metric.none)", "k % 2 = 1"),
     "fn_is_null": ("isNull(metric.none) || metric.k == 3", "k = 3"),
     "fn_in": ('in(metric.k, [1, "2", 3])', "k IN (1, 2, 3)"),
-    "fn_in_dynamic": ("in(metric.text, tags)", "true"),
+    "fn_in_dynamic": ("in(user.id, tags)", "user_id = k"),
     "fn_lower_upper": ('lower(user.group) == event.type && upper(event.type) == "CLICK"', "event_type = 'click'"),
     "fn_cidr_v4": ('cidrContains(source.ip, "10.16.0.0/12")', "user_id % 256 BETWEEN 16 AND 31"),
     "fn_cidr_any": ('cidrContainsAny(source.ip, ["10.0.0.0/9", "2001:db8::/32"])', "user_id % 256 < 128"),
-    "fn_is_ip": ("isIp(source.ip) && isIpv4(source.ip) && !isIpv6(source.ip)", "true"),
+    "fn_is_ip": ("isIp(source.any)", "k % 3 <> 1"),
+    "fn_is_ipv4": ("isIpv4(source.any)", "k % 3 = 2"),
+    "fn_is_ipv6": ("isIpv6(source.any)", "k % 3 = 0"),
+    "fn_cidr_v6": ('cidrContains(source.any, "2001:db8::/112")', "k % 3 = 0 AND user_id % 3 = 0"),
+    "fn_cidr_any_v6": ('cidrContainsAny(source.any, ["10.0.0.0/9", "2001:db8::1:0/112"])', "(k % 3 = 0 AND user_id % 3 = 1) OR (k % 3 = 2 AND user_id % 256 < 128)"),
+    "fn_cidr_dynamic": ("cidrContains(source.ip, source.net)", "k % 2 = 0 OR event_id % 256 = 0"),
+    "flt_deep_array": ('in(metric.k, [3, 4]) && containsAny(deep, ["3"])', "k = 3"),
 }
 
 
@@ -170,12 +181,12 @@ KEYS = {
     "key_per_source": ({"strategy": "PER_SOURCE"}, "ip"),
     "key_connection": ({"strategy": "CONNECTION"}, "conn_id"),
     "key_window": ({"strategy": "WINDOW"}, "conn_id || ':' || window_id"),
-    "key_agent_type": ({"strategy": "PER_AGENT_TYPE"}, "'_missing'"),
+    "key_agent_type": ({"strategy": "PER_AGENT_TYPE"}, "CASE WHEN k % 4 = 0 THEN event_type ELSE '_missing' END"),
     "key_json_kv": ({"strategy": "JSON_KV", "pointers": ["/event/type", "/metric/k"]}, "event_type || chr(31) || k"),
     "key_size_time": ({"strategy": "SIZE_TIME"}, "'all'"),
     "key_hybrid": ({"strategy": "HYBRID", "pointers": ["/user/group"]}, "upper(event_type)"),
     "key_hash": ({"strategy": "JSON_KV", "pointers": ["/event/type"], "hashed": True}, "sha256(event_type)"),
-    "key_missing": ({"strategy": "JSON_KV", "pointers": ["/event/none"], "default": "gone"}, "'gone'"),
+    "key_missing": ({"strategy": "JSON_KV", "pointers": ["/metric/odd"], "default": "gone"}, "CASE WHEN k % 2 = 1 THEN k::VARCHAR ELSE 'gone' END"),
 }
 
 
@@ -311,12 +322,59 @@ def admission_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admission.admit(own, 50, 10, 0, 3).groupBy(F.coalesce("rejected", F.lit("admitted")).alias("rejected")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT window_id AS ready_no, event_count FROM (SELECT window_id, count(*)::INT AS event_count, sum(count(*)) OVER (ORDER BY window_id) AS total
-  FROM w WHERE conn_id = 'c1' GROUP BY 1) WHERE total <= 500 AND window_id <= 32""")
+#: Every window of every connection is a ready batch.
+READY_SQL = """r AS (
+  SELECT row_number() OVER (ORDER BY window_id, conn_id) AS ready_no, count(*)::INT AS event_count FROM w GROUP BY window_id, conn_id
+)"""
+
+
+def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = events(spark, sf_dir, True).groupBy("window_id", "conn_id").agg(F.count(F.lit(1)).cast("int").alias("event_count"), F.lit(0).cast("long").alias("payload_bytes"))
+    return own.selectExpr("cast(row_number() over (order by window_id, conn_id) as long) as ready_no", "event_count", "payload_bytes")
+
+
+@query(f"WITH {E_SQL}, {READY_SQL} SELECT ready_no, event_count FROM (SELECT *, sum(event_count) OVER (ORDER BY ready_no) AS total FROM r) WHERE total <= 500 AND ready_no <= 32")
 def claim_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = events(spark, sf_dir, True).where("conn_id = 'c1'").groupBy(F.col("window_id").alias("ready_no"))
-    ready = own.agg(F.count(F.lit(1)).cast("int").alias("event_count"), F.lit(0).cast("long").alias("payload_bytes"))
-    return batching.claim(ready, 32, 500).select("ready_no", "event_count")
+    return batching.claim(ready(spark, sf_dir), 32, 500).select("ready_no", "event_count")
+
+
+#: Claims of four batches; every third of them is committed, every third rolled back, then committed too late, some are abandoned.
+def _claimed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = ready(spark, sf_dir).selectExpr("(ready_no - 1) div 4 as n", "ready_no").selectExpr("concat('claim', n) as claim_id", "n", "ready_no")
+    said = own.where("n % 3 < 2 or n % 9 = 8").selectExpr("claim_id", "case when n % 9 = 8 then 'ABANDONED' when n % 3 = 0 then 'COMMIT_CONFIRMED' else 'ROLLBACK_CONFIRMED' end as state", "1L as at")
+    late = own.where("n % 3 = 1").selectExpr("claim_id", "'COMMIT_CONFIRMED'", "2L").union(spark.sql("select 'unknown', 'COMMIT_CONFIRMED', 1L"))
+    return claims.resolved(own.select("claim_id", "ready_no"), said.union(late))
+
+
+CLAIM_STATE = "CASE WHEN n % 9 = 8 THEN 'ABANDONED' WHEN n % 3 = 0 THEN 'COMMIT_CONFIRMED' WHEN n % 3 = 1 THEN 'ROLLBACK_CONFIRMED' ELSE 'CLAIMED' END"
+
+
+@query(f"WITH {E_SQL}, {READY_SQL} SELECT {CLAIM_STATE} AS state, count(DISTINCT n) AS claims, count(*) AS batches FROM (SELECT (ready_no - 1) // 4 AS n FROM r) GROUP BY 1")
+def claim_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claims.snapshot(_claimed(spark, sf_dir))
+
+
+@query(f"WITH {E_SQL}, {READY_SQL} SELECT 'claim' || n AS claim_id, ready_no FROM (SELECT (ready_no - 1) // 4 AS n, ready_no FROM r) WHERE n % 3 = 1")
+def claim_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _claimed(spark, sf_dir)
+    return claims.records(own, own.where("state = 'ROLLBACK_CONFIRMED'").select("claim_id").distinct()).select("claim_id", "ready_no")
+
+
+@query(f"""WITH {E_SQL}, {READY_SQL}, q AS (SELECT *, row_number() OVER (ORDER BY ready_no) AS place, sum(event_count) OVER (ORDER BY ready_no) AS total
+  FROM (SELECT *, (ready_no - 1) // 4 AS n FROM r) WHERE {CLAIM_STATE} IN ('ROLLBACK_CONFIRMED', 'ABANDONED'))
+  SELECT ready_no, 'next' AS claim_id, 'CLAIMED' AS state FROM q WHERE place = 1 OR (place <= 6 AND total <= 10000)""")
+def claim_after_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claims.next_claim(ready(spark, sf_dir), _claimed(spark, sf_dir), "next", 6).select("ready_no", "claim_id", "state")
+
+
+@query("""SELECT avg(2 + CASE WHEN event_type = 'click' THEN 1 ELSE 0 END + CASE WHEN k IN (5, 6, 7, 8) THEN 1 ELSE 0 END) AS filter_candidate_rules_avg,
+  avg(CASE WHEN event_type = 'click' AND k < 30 THEN 1
+           ELSE CASE WHEN event_type = 'click' THEN 1 ELSE 0 END + 1 + CASE WHEN event_type = 'view' THEN 0 ELSE 1 END END) AS filter_rules_evaluated_avg,
+  1.0::DOUBLE AS filter_json_passes_avg, 4.0::DOUBLE AS filter_values_extracted_avg FROM e""")
+def filter_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules a and c are indexed, b and d are not; an event is tried on its candidates in order up to the one that drops it."""
+    own = filter.candidates(events(spark, sf_dir), RULE_SET)
+    return reporting.filter_averages(filter.apply_filter(own, RULE_SET), RULE_SET)
 
 
 @query("""SELECT * FROM (SELECT count(k) AS count, floor(avg(k))::BIGINT AS mean, max(k)::BIGINT AS max FROM e),
@@ -349,7 +407,29 @@ def frames_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("conn_id").agg(F.count_if(F.col("type") == "J").alias("n"), F.count_if(F.col("type") == "W").alias("windows"), F.sum("sequence").alias("sequences"))
 
 
-@query("SELECT 'JSON frame exceeds maximum frame size' AS message, 'FRAME_TOO_LARGE' AS reason, count(*) AS n FROM e")
+#: message of a closed connection by event_id modulo 5: reason.
+CLOSED = {
+    "JSON frame exceeds maximum frame size": "FRAME_TOO_LARGE", "window exceeds maximum events": "WINDOW_TOO_LARGE", "sequence gap": "PROTOCOL_VIOLATION",
+    "outstanding unacknowledged events exceed the per-connection maximum": "PER_CONNECTION_MEMORY_LIMIT", "it did not complete within 30 s": "PARTIAL_FRAME_TIMEOUT",
+}
+
+
+@query("SELECT CASE event_id % 5 " + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(CLOSED.values())) + " END AS reason, count(*) AS n FROM e GROUP BY 1")
 def close_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = events(spark, sf_dir).select(F.lit("JSON frame exceeds maximum frame size").alias("message"))
-    return own.groupBy("message", reporting.close_reason(F.col("message")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    message = F.array(*[F.lit(m) for m in CLOSED])[(F.col("event_id") % 5).cast("int")]
+    return events(spark, sf_dir).groupBy(reporting.close_reason(message).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT conn_id, count(*) AS n FROM e LEFT JOIN (SELECT conn_id, min(sequence) AS first FROM e WHERE k % 64 = 0 GROUP BY 1) f USING (conn_id) WHERE first IS NULL OR sequence < first GROUP BY 1")
+def key_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An event without a key ends its connection."""
+    own = events(spark, sf_dir, True).withColumn("raw", F.when(F.col("k") % 64 == 0, F.lit("{}")).otherwise(F.col("raw")))
+    return keys.with_batch_key(own, "JSON_KV", ["/event/type"], "REJECT").groupBy("conn_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT remote, batch_no, count(*)::INT AS event_count FROM (SELECT conn_id IN ('c0', 'c1') AS remote, (row_number() OVER (PARTITION BY conn_id IN ('c0', 'c1') ORDER BY event_id) - 1) // 100 AS batch_no FROM e) GROUP BY 1, 2""")
+def batch_two_listeners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key for all events, but each listener has batches of its own."""
+    keyed = keys.with_batch_key(events(spark, sf_dir, True), "SIZE_TIME").withColumn("remote", F.col("conn_id").isin("c0", "c1"))
+    found = batching.collect_batches(batching.assign_batches(keyed, batching.Limits(events=100, timers=False), shard="remote"), shard="remote")
+    return found.select("remote", "batch_no", "event_count")

@@ -114,3 +114,31 @@ def test_frontier(spark):
     assert bytes(got[0].ack) == b"2A\x00\x00\x00\x06"
     runs_ = spark.createDataFrame([("b", 1, 1, 9), ("z", 1, 1, 1)], "conn_id string, window_id long, first_seq long, count long")
     assert ledger.commit(own, runs_).where("conn_id = 'b' and committed").count() == 2
+
+
+def test_claims_are_resolved_once(spark):
+    from sluicegate.operators import claims
+
+    ready = spark.createDataFrame([(i, 1, 10) for i in range(1, 7)], "ready_no long, event_count int, payload_bytes long")
+    own = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "claim_id string, ready_no long")
+    said = spark.createDataFrame([("a", "ROLLBACK_CONFIRMED", 1), ("a", "COMMIT_CONFIRMED", 2), ("b", "COMMIT_CONFIRMED", 1), ("z", "ABANDONED", 1), (None, "ABANDONED", 1), ("c", "odd", 0)], "claim_id string, state string, at long")
+    state = claims.resolved(own, said)
+    assert {(r.claim_id, r.state) for r in state.collect()} == {("a", "ROLLBACK_CONFIRMED"), ("b", "COMMIT_CONFIRMED"), ("c", "CLAIMED")}
+    assert [r.ready_no for r in claims.next_claim(ready, state, "d", 3).orderBy("ready_no").collect()] == [1, 2, 5]
+    again = claims.resolved(own.where("false"), said)
+    assert again.count() == 0 and claims.queue(ready, again).count() == 6
+    # a batch that was given back and claimed once more
+    both = state.select("claim_id", "ready_no", "state").union(spark.createDataFrame([("d", 1, "CLAIMED")], "claim_id string, ready_no long, state string"))
+    assert claims.queue(ready, both).orderBy("ready_no").first().ready_no == 2
+
+
+def test_metrics_log():
+    from types import SimpleNamespace
+
+    from sluicegate.operators import reporting
+
+    lines = []
+    own = reporting.MetricsLog(lambda: {"ack.sent": 3}, 3600, lines.append)
+    for i in range(2):
+        own.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(batchId=i, numInputRows=5, processedRowsPerSecond=1.26)))
+    assert lines == ["listener metrics: ack.sent=3, batch=0, rows=5, rows.per.second=1.3"]

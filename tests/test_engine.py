@@ -22,3 +22,23 @@ def test_captures_to_acknowledgements(spark):
     assert {k: (r.event_count, r.ndjson) for k, r in batches.items()} == {"a": (2, '{"k":1,"t":"a"}\n{"k":2,"t":"a"}\n'), "b": (1, '{"k":7,"t":"b"}\n')}
     assert batches["a"].attributes["beats.sequence.last"] == "2" and batches["a"].attributes["record.count"] == "2"
     assert [(r.conn_id, r.window_id, r.ack_sequence) for r in got.acks.orderBy("conn_id", "window_id").collect()] == [("c1", 1, 3), ("c1", 2, 0), ("c2", 1, 7)]
+
+
+def test_bytes_that_are_no_text(spark):
+    """An event that isn't UTF-8 keeps its bytes; with rules the policy decides."""
+    sent = [b'{"k":1}', b'{"k":"\xff\xfe"}', b'{"k":3}']
+    data = f.window(3) + b"".join(f.event(i, x) for i, x in enumerate(sent))
+    captures = spark.createDataFrame([("x", "c1", data, "n1")], "capture_id string, conn_id string, data binary, listener string")
+    for policy, rules, kept in (("KEEP_EVENT", {}, sent), ("KEEP_EVENT", {"r": "k == 3"}, sent[:2]), ("DROP_EVENT", {"r": "k == 3"}, sent[:1]), ("CLOSE_CONNECTION", {"r": "k == 3"}, sent[:1])):
+        settings = Settings({"event-filtering": "DROP_MATCHING", "filter-evaluation-error-policy": policy}, rules)
+        got = process(captures, settings, {"pending.records": 7})
+        rows = got.batches.selectExpr("cast(ndjson as binary) as ndjson", "listener", "attributes").collect()
+        assert [bytes(r.ndjson) for r in rows] == [b"".join(x + b"\n" for x in kept)] and rows[0].listener == "n1" and rows[0].attributes["beats.pending.records"] == "7"
+        assert [(r.conn_id, r.ack_sequence) for r in got.acks.collect()] == [("c1", 0 if policy == "CLOSE_CONNECTION" else 2)]
+
+
+def test_listeners_batch_apart(spark):
+    rows = [(f"{n}{i}", f"c{n}{i}", f.window(1) + f.event(1, b"{}"), f"n{n}", "h") for n in range(2) for i in range(2)]
+    captures = spark.createDataFrame(rows, "capture_id string, conn_id string, data binary, listener string, remote_address string")
+    got = process(captures, Settings()).batches.collect()
+    assert sorted((r.listener, r.batch_key, r.event_count, r.remote_address) for r in got) == [("n0", "all", 2, "h"), ("n1", "all", 2, "h")]

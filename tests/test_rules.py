@@ -100,3 +100,13 @@ def test_one_parse_per_event(spark):
     found = filter.apply_filter(events(spark, [DOC]), {f"r{i}": f'n == {i} && s == "{i}"' for i in range(20)}).where("rule_name is null")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 2
+
+
+def test_one_budget_for_all_paths_of_an_event(spark):
+    from sluicegate.operators import filter
+
+    some = "[" + ",".join(["1"] * 9000) + "]"
+    rows = [(1, f'{{"a":{some},"b":{some}}}'), (2, f'{{"a":{some},"b":[1]}}'), (3, '{"a":1,"b":"' + "x,:" * 9000 + '"}')]
+    events = spark.createDataFrame(rows, "event_id long, raw string").selectExpr("*", "'c' as conn_id", "event_id as sequence")
+    got = filter.apply_filter(events, {"r": "in(7, a) || in(7, b)"} | {"s": "a == 7"})
+    assert {r.event_id: r.evaluation_error for r in got.collect()} == {1: True, 2: False, 3: False}
