@@ -23,12 +23,13 @@ class Result:
     acks: DataFrame
 
 
-def process(captures: DataFrame, settings: Settings = Settings(), metrics: dict[str, object] | None = None) -> Result:
+def process(captures: DataFrame, settings: Settings = Settings(), metrics: dict[str, object] | None = None, limit_active: bool = False) -> Result:
     """captures: capture_id, conn_id, data and, as far as known, listener, remote_address, remote_port, received_ts, tls_subject, tls_issuer.
 
     Each listener batches what it received itself, so keys that all events share are one task for each listener only. Of
     several captures of a connection the first by capture_id tells its sender. Payloads stay as they came, UTF-8 or
     not; with rules those that aren't are errors, which the policy decides on. metrics: values of attributes, as Listener.metrics() gives.
+    limit_active: a listener holds maximum-active-batch-keys open batches at most, which makes it one ordered task.
 
     Windows and their ends are told before rules drop events, so a window whose last event is dropped ends no
     batch. Events up to the first break of a connection count; dropped ones are acknowledged like committed
@@ -51,7 +52,12 @@ def process(captures: DataFrame, settings: Settings = Settings(), metrics: dict[
         decisions.where("not drop"), strategy, settings.pointers, settings["missing-key-policy"], settings["default-batch-bucket"], settings["hash-batch-keys"], settings["maximum-batch-key-length"],
         values="batch_values" if settings.active_rules and pointers else None,
     )
-    batches = batching.collect_batches(batching.assign_batches(kept.drop("batch_values", "valid"), settings.batch_limits, shard="listener"), shard="listener")
+    kept_events = kept.drop("batch_values", "valid")
+    if limit_active:
+        assigned = batching.assign_limited(kept_events, settings.batch_limits, settings["maximum-active-batch-keys"], shard="listener")
+    else:
+        assigned = batching.assign_batches(kept_events, settings.batch_limits, shard="listener")
+    batches = batching.collect_batches(assigned, shard="listener")
     batches = reporting.attributes(batches, strategy, settings["listening-port"], settings["metrics-attribute-detail"], metrics)
     done = kept.select("conn_id", "window_id", "offset").withColumn("_kept", F.lit(True))
     state = decisions.join(done, ["conn_id", "window_id", "offset"], "left").withColumn("committed", F.col("drop") | F.coalesce("_kept", F.lit(False)))

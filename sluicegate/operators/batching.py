@@ -150,6 +150,81 @@ def assign_batches(events: DataFrame, limits: Limits = Limits(), key: str = "bat
     return rows.mapInArrow(run, schema)
 
 
+def assign_limited(events: DataFrame, limits: Limits = Limits(), max_active: int = 2048, key: str = "batch_key", order: str = "arrival", shard: str | None = None, closing: str | None = "service-disabled") -> DataFrame:
+    """Like assign_batches, where a listener (shard) holds max_active open batches at most.
+
+    The event of a key without an open batch ends the batch that was opened first, if there are so many ("active-key-limit").
+    Timers end batches as time goes on, whatever key the next event has. As all keys of a listener bear on each other, its events are
+    one ordered task, which keeps counters of open batches only; batch_no counts the batches of a listener in the order in
+    which they were opened.
+    """
+    columns, own = events.columns, F.col(shard) if shard else F.lit(0)
+    time = F.unix_micros("received_ts") if "received_ts" in columns else F.lit(0).cast("long")
+    end = F.coalesce("window_complete", F.lit(False)) if "window_complete" in columns else F.lit(False)
+    rows = events.select(*columns, own.alias("_shard"), F.coalesce(F.octet_length("raw").cast("long"), F.lit(0)).alias("_size"), F.coalesce(time, F.lit(0)).alias("_at"), end.alias("_end"))
+    rows = rows.repartition("_shard").sortWithinPartitions("_shard", order)
+    schema = rows.select(*columns, "_shard", F.lit(0).cast("long").alias("batch_no"), F.lit("").alias("_reason")).schema
+    for f in schema.fields:
+        f.nullable = True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, opened, ended = None, 0, []
+        active: dict[object, Open] = {}  # in the order of opening
+
+        def close(k: object, reason: str | None) -> None:
+            ended.append((now, active.pop(k).number, reason))
+
+        def told(like: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            """The batches that ended, as rows without an event."""
+            if ended:
+                shards, numbers, reasons = zip(*ended)
+                made = [pa.nulls(len(ended), like.schema.field(c).type) for c in columns]
+                yield pa.RecordBatch.from_arrays([*made, pa.array(shards, type=like.schema.field("_shard").type), pa.array(numbers, type=pa.int64()), pa.array(reasons, type=pa.string())], names=[*columns, "_shard", "batch_no", "_reason"])
+                ended.clear()
+
+        last = None
+        for batch in batches:
+            last, out = batch, []
+            for s, k, size, at, window in zip(*(batch.column(c).to_pylist() for c in ("_shard", key, "_size", "_at", "_end"))):
+                if s != now:
+                    for x in list(active):
+                        close(x, closing)
+                    now, opened = s, 0
+                if limits.timers:
+                    for x in [x for x, o in active.items() if o.due(limits)[0] <= at]:
+                        close(x, active[x].due(limits)[1])
+                if k in active and active[k].bytes + size > limits.bytes:
+                    close(k, "byte-count")
+                if k not in active:
+                    if len(active) >= max_active:
+                        close(next(iter(active)), "active-key-limit")
+                    active[k] = Open(opened, created=at)
+                    opened += 1
+                o = active[k]
+                o.events, o.bytes, o.last = o.events + 1, o.bytes + size, at
+                out.append(o.number)
+                if limits.strategy == "NONE":
+                    close(k, "none")
+                elif limits.strategy == "WINDOW" and window:
+                    close(k, "window-boundary")
+                elif o.events >= limits.events:
+                    close(k, "event-count")
+                elif o.bytes >= limits.bytes:
+                    close(k, "byte-count")
+            made = [batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*made, batch.column("_shard"), pa.array(out, type=pa.int64()), pa.array([""] * len(out), type=pa.string())], names=[*columns, "_shard", "batch_no", "_reason"])
+            yield from told(batch)
+        if last is not None:
+            for x in list(active):
+                close(x, closing)
+            yield from told(last)
+
+    folded = rows.mapInArrow(run, schema)
+    events_of, ends_of = folded.where("_reason = ''"), folded.where("_reason is null or _reason <> ''").select(F.col("_shard").alias("_s"), F.col("batch_no").alias("_n"), F.col("_reason").alias("flush_reason"))
+    both = events_of.drop("_reason").join(ends_of, F.col("_shard").eqNullSafe(F.col("_s")) & (F.col("batch_no") == F.col("_n")), "left")
+    return both.select(*columns, "batch_no", "flush_reason")
+
+
 def count_batches(events: DataFrame, max_events: int, key: str = "batch_key", order: str = "arrival") -> DataFrame:
     """events with batch_no where only the number of events ends a batch: a window function does."""
     return events.selectExpr("*", f"cast((row_number() over (partition by `{key}` order by `{order}`) - 1) div {max_events} as long) as batch_no")

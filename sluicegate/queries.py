@@ -23,6 +23,7 @@ IP = "concat('10.', cast(user_id % 256 as string), '.', cast(event_id % 256 as s
 #: By k modulo 3 an IPv6 address, no address, an IPv4 address; a network that holds the event's address where k is even or its third octet is 0.
 ANY_IP = "case k % 3 when 0 then concat('2001:db8::', lower(hex(user_id % 3)), ':', lower(hex(event_id % 256))) when 1 then concat('x', ip) else ip end"
 NET = "case when k % 2 = 0 then '10.0.0.0/8' else concat('10.', user_id % 256, '.0.0/24') end"
+DEEP = "array(array(array(array(array(array(k))))), array(array(array(array(array(-1))))))"
 #: The same table for SQL: columns as the rules see them.
 E_SQL = """e AS (
   SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INT) AS k,
@@ -34,8 +35,11 @@ E_SQL = """e AS (
 )"""
 
 
-def events(spark: SparkSession, sf_dir: str, ledger_columns: bool = False) -> DataFrame:
-    """event_id, raw, and with ledger_columns conn_id, sequence, window_id, ...; these need one window per connection."""
+def events(spark: SparkSession, sf_dir: str, ledger_columns: bool = False, wide: bool = False) -> DataFrame:
+    """event_id, raw, and with ledger_columns conn_id, sequence, window_id, ...; these need one window per connection.
+
+    wide: raw has an agent, addresses of both kinds and nested arrays as well.
+    """
     ship(spark)
     df = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     df = df.withColumn("ip", F.expr(IP))
@@ -43,9 +47,8 @@ def events(spark: SparkSession, sf_dir: str, ledger_columns: bool = False) -> Da
         F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type")).alias("event"),
         F.struct(F.col("user_id").alias("id"), F.upper("event_type").alias("group")).alias("user"),
         F.struct(F.col("k").alias("k"), F.col("k").cast("string").alias("text"), (F.col("k") % 2 == 0).alias("even"), F.when(F.col("k") % 2 == 1, F.col("k")).alias("odd")).alias("metric"),
-        F.struct(F.col("ip").alias("ip"), F.expr(ANY_IP).alias("any"), F.expr(NET).alias("net")).alias("source"),
-        F.when(F.col("k") % 4 == 0, F.struct(F.col("event_type").alias("type"))).alias("agent"),
-        F.expr("array(array(array(array(array(array(k))))), array(array(array(array(array(-1))))))").alias("deep"),
+        F.struct(F.col("ip").alias("ip"), *([F.expr(ANY_IP).alias("any"), F.expr(NET).alias("net")] if wide else [])).alias("source"),
+        *([F.when(F.col("k") % 4 == 0, F.struct(F.col("event_type").alias("type"))).alias("agent"), F.expr(DEEP).alias("deep")] if wide else []),
         F.array(F.col("event_type"), F.col("k").cast("string")).alias("tags"),
     )
     df = df.withColumn("raw", F.to_json(doc))
@@ -116,7 +119,7 @@ RULES = {
 
 def _rule_query(rule: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = filter.apply_filter(events(spark, sf_dir), {"rule": rule})
+        found = filter.apply_filter(events(spark, sf_dir, wide=any(x in rule for x in ("source.any", "source.net", "deep"))), {"rule": rule})
         return found.where("drop").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
     return run
@@ -192,7 +195,7 @@ KEYS = {
 
 def _key_query(options: dict) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return keys.with_batch_key(events(spark, sf_dir, True), **options).groupBy("batch_key").agg(F.count(F.lit(1)).alias("n"))
+        return keys.with_batch_key(events(spark, sf_dir, True, wide=options["strategy"] == "PER_AGENT_TYPE"), **options).groupBy("batch_key").agg(F.count(F.lit(1)).alias("n"))
 
     return run
 
@@ -433,3 +436,12 @@ def batch_two_listeners(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = keys.with_batch_key(events(spark, sf_dir, True), "SIZE_TIME").withColumn("remote", F.col("conn_id").isin("c0", "c1"))
     found = batching.collect_batches(batching.assign_batches(keyed, batching.Limits(events=100, timers=False), shard="remote"), shard="remote")
     return found.select("remote", "batch_no", "event_count")
+
+
+@query("""SELECT conn_id, batch_key, batch_no, count(*)::INT AS event_count FROM (SELECT conn_id, event_type AS batch_key, sum(new) OVER (PARTITION BY conn_id ORDER BY event_id)::BIGINT - 1 AS batch_no FROM (
+  SELECT *, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY conn_id ORDER BY event_id) THEN 0 ELSE 1 END AS new FROM e)) GROUP BY 1, 2, 3""")
+def batch_active_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of one open batch: an event of another key ends it."""
+    keyed = keys.with_batch_key(events(spark, sf_dir, True), "JSON_KV", ["/event/type"])
+    found = batching.assign_limited(keyed, batching.Limits(events=1 << 30, timers=False), 1, shard="conn_id")
+    return found.groupBy("conn_id", "batch_key", "batch_no").agg(F.count(F.lit(1)).cast("int").alias("event_count"))

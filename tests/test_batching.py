@@ -142,3 +142,28 @@ def test_metrics_log():
     for i in range(2):
         own.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(batchId=i, numInputRows=5, processedRowsPerSecond=1.26)))
     assert lines == ["listener metrics: ack.sent=3, batch=0, rows=5, rows.per.second=1.3"]
+
+
+def test_active_keys_are_limited(spark):
+    rng = np.random.default_rng(1)
+    rows = [(f"k{rng.integers(5)}", i, "x" * int(rng.integers(1, 9)), bool(rng.random() < 0.2), int(t)) for i, t in enumerate(np.cumsum(rng.integers(0, 30, 300)))]
+    df = spark.createDataFrame(rows, "batch_key string, arrival long, raw string, window_complete boolean, t long").selectExpr("*", "timestamp_micros(t) as received_ts")
+    for strategy in ("SIZE_TIME", "WINDOW", "NONE"):
+        limits = Limits(events=6, bytes=30, age=150, idle=60, strategy=strategy)
+        kinds = {}
+        for name, got in (("free", batching.assign_batches(df, limits)), ("limited", batching.assign_limited(df, limits, 9))):
+            groups = {}
+            for r in got.collect():
+                groups.setdefault((r.batch_key, r.batch_no), []).append((r.arrival, r.flush_reason))
+            kinds[name] = sorted(sorted(g) for g in groups.values())
+        for free, limited in zip(kinds["free"], kinds["limited"], strict=True):  # at the end other keys' events let time pass
+            assert free == limited or (free[0][1] == "service-disabled" and [x for x, _ in free] == [x for x, _ in limited])
+    few = batching.assign_limited(df, Limits(events=100, timers=False), 2).orderBy("arrival").collect()
+    open_, seen = [], {}
+    for r in few:  # the key that was opened first makes room
+        if r.batch_key not in open_:
+            open_ = [*open_[-1:], r.batch_key] if len(open_) == 2 else [*open_, r.batch_key]
+            seen[r.batch_key] = r.batch_no
+        assert seen[r.batch_key] == r.batch_no
+    assert {r.flush_reason for r in few} == {"active-key-limit", "service-disabled"}
+    assert batching.assign_limited(df.where("false")).count() == 0

@@ -42,3 +42,6 @@ def test_listeners_batch_apart(spark):
     captures = spark.createDataFrame(rows, "capture_id string, conn_id string, data binary, listener string, remote_address string")
     got = process(captures, Settings()).batches.collect()
     assert sorted((r.listener, r.batch_key, r.event_count, r.remote_address) for r in got) == [("n0", "all", 2, "h"), ("n1", "all", 2, "h")]
+    settings = Settings({"batching-strategy": "CONNECTION", "maximum-active-batch-keys": 1})
+    limited = process(captures, settings, limit_active=True).batches.collect()
+    assert sorted((r.listener, r.batch_key, r.flush_reason) for r in limited) == [("n0", "c00", "active-key-limit"), ("n0", "c01", "service-disabled"), ("n1", "c10", "active-key-limit"), ("n1", "c11", "service-disabled")]
