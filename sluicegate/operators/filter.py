@@ -105,6 +105,18 @@ def budget_of(variant: str) -> str:
     return f"coalesce(CASE WHEN substring(schema_of_variant({variant}), 1, 2) IN ('AR', 'OB') THEN {v.let(text, parts)} END, {none})"
 
 
+def over_budget(n: int) -> str:
+    """Whether the containers at all n paths of an event together cost more than one pass may; nothing is measured without any."""
+    if not n:
+        return "false"
+    total = lambda costs, part: f"aggregate({costs}, 0L, (a, x) -> a + x.{part})"
+    costly = v.let(
+        f"array({', '.join(budget_of(f'_v{i}') for i in range(n))})",
+        lambda costs: f"exists({costs}, x -> x.deep) OR {total(costs, 'nodes')} > {MAX_NODES} OR {total(costs, 'chars')} > {MAX_CHARS}",
+    )
+    return f"CASE WHEN {' OR '.join(f'p{i}_k IN (\'A\', \'O\')' for i in range(n))} THEN {costly} ELSE false END"
+
+
 def apply_filter(
     events: DataFrame,
     rules: Mapping[str, str],
@@ -140,10 +152,7 @@ def apply_filter(
     if compiler.patterns:
         find = F.pandas_udf(_found, "boolean").asNondeterministic()
         df = df.select("*", *[find(F.expr(s), F.expr(p)).alias(f"d{i}") for i, (s, p) in enumerate(compiler.patterns)])
-    df = df.select("*", *[F.expr(v.once(budget_of(f"_v{i}"))).alias(f"_b{i}") for i in range(len(paths))])
-    deep = " OR ".join([f"_b{i}.deep" for i in range(len(paths))]) or "false"
-    sums = {part: " + ".join(["0L", *[f"_b{i}.{part}" for i in range(len(paths))]]) for part in ("nodes", "chars")}  # one budget for all paths of an event
-    error = f"(_doc IS NULL OR {deep} OR {sums['nodes']} > {MAX_NODES} OR {sums['chars']} > {MAX_CHARS})"
+    error = f"(_doc IS NULL OR {over_budget(len(paths))})"
     name = "CASE " + " ".join(f"WHEN {t} THEN {v.quoted(n)}" for n, t in tests) + " END"
     told = v.once(f"CASE WHEN {error} THEN {v.quoted(EVALUATION_ERROR)} ELSE {name} END")
     values = F.array(*[F.col(f"p{paths.index(p)}_s") for p in wanted]) if wanted else none
