@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,7 +19,9 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp()) / "sluicegate.zip"
+    folder = tempfile.mkdtemp()  # the driver's own; Spark serves the file from there while the driver lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "sluicegate.zip"
     with zipfile.ZipFile(archive, "w") as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f"sluicegate/{f.relative_to(root)}")
